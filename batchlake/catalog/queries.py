@@ -314,13 +314,12 @@ BOUNDS = "batch_start, batch_end"
 @query("F4_batch_bounds", wide_sql(BOUNDS))
 def _(spark, sf_dir):
     silver, profile = _silver_and_profile(spark, sf_dir)
-    return ft.batch_bounds(silver, profile=profile).select(*_names(BOUNDS))
+    return ft.batch_bounds(silver, n_batches=profile.n_batches).select(*_names(BOUNDS))
 
 
-@query("F4_batch_bounds_joined", wide_sql(BOUNDS))
+@query("F4_batch_bounds_unknown_size", wide_sql(BOUNDS))
 def _(spark, sf_dir):
-    silver, profile = _silver_and_profile(spark, sf_dir, SMALL_SLICE)
-    return ft.batch_bounds(silver, profile=profile).select(*_names(BOUNDS))
+    return ft.batch_bounds(fx.sensor_silver(spark, sf_dir)).select(*_names(BOUNDS))
 
 
 @query(
@@ -338,7 +337,7 @@ def _(spark, sf_dir):
 @query("F5_batch_progress", wide_sql("batch_progress_pct"))
 def _(spark, sf_dir):
     silver, profile = _silver_and_profile(spark, sf_dir)
-    bounded = ft.batch_bounds(silver, profile=profile)
+    bounded = ft.batch_bounds(silver, n_batches=profile.n_batches)
     return ft.batch_progress(bounded).select(*_names("batch_progress_pct"))
 
 

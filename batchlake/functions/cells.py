@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlake.functions.schema import NULL_TOKENS, TIME_FORMATS
@@ -87,3 +87,15 @@ def hash_percent(seed: int, *parts: Column) -> Column:
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
     number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     return F.pmod(number, F.lit(100)).cast("int")
+
+
+def evaluate_once(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Keep filters on costly columns above the place where they are computed.
+
+    Spark moves a filter below a projection by repeating the projection's
+    expressions in it, so a parsed column would be parsed once to filter and
+    once to keep. Filters do not move below a generator that makes the column.
+    """
+    others = [c for c in df.columns if c not in cols]
+    made = df.select(*others, F.inline(F.array(F.struct(*cols))))
+    return made.select(*df.columns)

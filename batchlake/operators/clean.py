@@ -97,7 +97,7 @@ def type_rows(raw: DataFrame, formats=TIME_FORMATS, tokens=NULL_TOKENS) -> DataF
     df = strip_thousands(df)
     df = null_tokens(df, tokens=tokens)
     df = parse_timestamps(df, formats=formats)
-    return cast_numeric(df)
+    return cells.evaluate_once(cast_numeric(df), [TIME, *POSITIVE])
 
 
 def usable(typed: DataFrame) -> DataFrame:

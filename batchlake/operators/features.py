@@ -10,11 +10,11 @@ one the input itself is counted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from batchlake.functions.cells import is_positive
-from batchlake.functions.schema import BATCH, MODEL_INPUTS, TARGET, TIME
+from batchlake.functions.schema import BATCH, ENGINEERED, MODEL_INPUTS, SENSORS, TARGET, TIME
 from batchlake.operators.series import (
     BatchProfile,
     WindowExpr,
@@ -103,23 +103,14 @@ def batch_stats(df: DataFrame, col: str = "batch_time_mins") -> DataFrame:
 
 
 def batch_bounds(
-    df: DataFrame, col: str = "batch_time_mins", profile: BatchProfile | None = None
+    df: DataFrame, col: str = "batch_time_mins", n_batches: int | None = None
 ) -> DataFrame:
     """Append ``batch_start`` and ``batch_end`` to every row.
 
-    Without large batches this is a window (it shares the shuffle of the other
-    windows); with one it is an aggregate joined back, which spreads a large
-    batch over many tasks.
+    With the number of batches known and small the rows are not shuffled at
+    all; otherwise Spark joins, and splits a large batch over many tasks.
     """
-    profile = profile or profile_batches(df)
-    if profile.has_large:
-        return attach(df, batch_stats(df, col), BATCH, profile.n_batches)
-    every = Window.partitionBy(BATCH)
-    return df.select(
-        "*",
-        F.min(col).over(every).alias("batch_start"),
-        F.max(col).over(every).alias("batch_end"),
-    )
+    return attach(df, batch_stats(df, col), BATCH, n_batches)
 
 
 def progress_expr(col: str = "batch_time_mins") -> Column:
@@ -153,14 +144,12 @@ def engineer(df: DataFrame, profile: BatchProfile | None = None) -> DataFrame:
         exprs[f"{prefix}_rate_change"] = rate_expr(col)
     exprs[TARGET] = lead_expr("viscosity_cp", TARGET_STEPS)
     back = max(ROLLING_BACK, *[steps for _, steps in LAGS.values()])
-    bounded = batch_bounds(df, profile=profile)
-    windowed = over_batches(bounded, exprs, back, TARGET_STEPS, profile)
-    return batch_progress(windowed)
+    bounds = {"batch_start": F.min("batch_time_mins"), "batch_end": F.max("batch_time_mins")}
+    return batch_progress(over_batches(df, exprs, back, TARGET_STEPS, profile, bounds))
 
 
 def build_features(silver: DataFrame, profile: BatchProfile | None = None) -> DataFrame:
     """Clean readings to complete, model-ready rows (columns of the feature layer)."""
     ready = positive_target(drop_incomplete(engineer(silver, profile)))
-    tail = ["batch_start", "batch_end", "batch_progress_pct", TARGET, BATCH]
-    body = [c for c in ready.columns if c not in tail]
-    return ready.select(*body, *tail)
+    passed_through = [c for c in silver.columns if c not in (TIME, *SENSORS, BATCH)]
+    return ready.select(TIME, *SENSORS, *passed_through, *ENGINEERED, TARGET, BATCH)

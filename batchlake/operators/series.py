@@ -95,30 +95,25 @@ def over_batches(
     back: int,
     ahead: int,
     profile: BatchProfile,
+    per_batch: Mapping[str, Column] | None = None,
     batch: str = BATCH,
     order: str = TIME,
 ) -> DataFrame:
     """Append window columns; no expression may look further than back/ahead rows.
 
+    ``per_batch`` are aggregates over the whole batch, appended after them.
     ``order`` must be unique within a batch (cleaned readings are).
     """
+    per_batch = per_batch or {}
     whole = Window.partitionBy(batch).orderBy(order)
-    if not profile.has_large:
-        return df.select("*", *[fn(whole).alias(name) for name, fn in exprs.items()])
 
-    out = [*df.columns, *exprs]
-    # slice width in seconds, from the rows per second that has any row at all:
-    # gaps and stray timestamps do not distort it
-    seconds = F.ceil(
-        F.lit(profile.slice_rows) * F.col("busy_seconds") / F.col("batch_rows")
-    ).cast("bigint")
-    widths = profile.sizes.filter(F.col("batch_rows") > profile.slice_rows).select(
-        F.col(BATCH).alias(batch), F.greatest(seconds, F.lit(1)).alias("_width")
-    )
-    tagged = attach(df, widths, batch, profile.n_large)
-    tagged = tagged.withColumn(
-        "_slice", F.floor(second_number(df, order) / F.col("_width")).cast("bigint")
-    )
+    def windowed(rows: DataFrame, spec: WindowSpec, *more: Column) -> DataFrame:
+        return rows.select("*", *[fn(spec).alias(name) for name, fn in exprs.items()], *more)
+
+    if not profile.has_large:
+        rows = windowed(df, whole)
+        every = Window.partitionBy(batch)
+        return rows.select("*", *[agg.over(every).alias(n) for n, agg in per_batch.items()])
 
     sliced = Window.partitionBy(batch, "_slice").orderBy(order)
     reach = back + ahead
@@ -130,18 +125,45 @@ def over_batches(
         moved = F.lag(mark, offset) if offset > 0 else F.lead(mark, -offset)
         return moved.over(sliced).isNotNull()
 
-    flagged = tagged.select(
-        "*",
-        *[fn(sliced).alias(name) for name, fn in exprs.items()],
-        (F.col("_width").isNull() | (has(back) & has(-ahead))).alias("_inner"),
-        (F.col("_width").isNotNull() & ~(has(reach) & has(-reach))).alias("_near_edge"),
+    is_large = F.col("_width").isNotNull()
+    flagged = windowed(
+        _sliced_rows(df, per_batch, profile, batch, order),
+        sliced,
+        (~is_large | (has(back) & has(-ahead))).alias("_inner"),
+        (is_large & ~(has(reach) & has(-reach))).alias("_near_edge"),
+    )
+    # a small batch is one slice, so a window over the slice covers it
+    slice_all = Window.partitionBy(batch, "_slice")
+    flagged = flagged.withColumns(
+        {n: F.when(is_large, F.col(f"_{n}")).otherwise(agg.over(slice_all)) for n, agg in per_batch.items()}
     )
-    inner = flagged.filter("_inner").select(*out)
-    edges = (
-        flagged.filter("_near_edge")
-        .select(*df.columns, "_inner")
-        .select("*", *[fn(whole).alias(name) for name, fn in exprs.items()])
-        .filter("NOT _inner")
-        .select(*out)
+    inner = flagged.filter("_inner")
+    edges = flagged.filter("_near_edge").select(*df.columns, "_inner", *per_batch)
+    edges = windowed(edges, whole).filter("NOT _inner")
+    out = [*df.columns, *exprs, *per_batch]
+    return inner.select(*out).union(edges.select(*out)) if reach else inner.select(*out)
+
+
+def _sliced_rows(
+    df: DataFrame, per_batch: Mapping[str, Column], profile: BatchProfile, batch: str, order: str
+) -> DataFrame:
+    """Rows with ``_width`` (seconds, NULL in small batches), ``_slice`` and, for
+    large batches, their whole-batch aggregates as ``_<name>``.
+
+    Only large batches are in the joined table, so it has at most
+    (all rows / slice_rows) rows.
+    """
+    # from the rows per second that has any row at all, so that gaps and stray
+    # timestamps do not distort the width
+    seconds = F.ceil(
+        F.lit(profile.slice_rows) * F.col("busy_seconds") / F.col("batch_rows")
+    ).cast("bigint")
+    large = profile.sizes.filter(F.col("batch_rows") > profile.slice_rows).select(
+        F.col(BATCH).alias(batch), F.greatest(seconds, F.lit(1)).alias("_width")
     )
-    return inner.union(edges)
+    if per_batch:
+        values = df.groupBy(batch).agg(*[agg.alias(f"_{n}") for n, agg in per_batch.items()])
+        large = attach(large, values, batch)
+    rows = attach(df, large, batch, profile.n_large)
+    number = F.floor(second_number(df, order) / F.col("_width")).cast("bigint")
+    return rows.withColumn("_slice", number)
