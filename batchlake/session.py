@@ -41,9 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        made = os.path.join(tempfile.gettempdir(), "batchlake-work")
-        spark.conf.set("spark.checkpoint.dir", made)
-        return made
+        return os.path.join(tempfile.gettempdir(), "batchlake-work")
     raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
 
 

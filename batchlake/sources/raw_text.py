@@ -15,6 +15,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchlake.functions.cells import evaluate_once
 from batchlake.functions.schema import BATCH, REQUIRED_ROLES, ROLES, role_column
 from batchlake.operators.clean import derive_batch_id
 
@@ -24,8 +25,10 @@ BROADCAST_FILES = 50_000
 # Byte-order marks, as hex.
 UTF16_LE_BOM = "FFFE"
 UTF16_BE_BOM = "FEFF"
+UTF8_BOM = "EFBBBF"
 BOM_CHARS = "[\ufeff\ufffe]"
 LINE_FEED = "\n"
+RETURN = "\r"
 
 _LISTING = {"recursiveFileLookup": "true", "pathGlobFilter": "*.[cC][sS][vV]"}
 
@@ -48,6 +51,14 @@ def relative_name(file_path: Column, root: str) -> Column:
     return F.when(bare.startswith(below), inside).otherwise(F.substring_index(bare, "/", -1))
 
 
+def is_blank(line: Column) -> Column:
+    return F.trim(line).isin("", RETURN)
+
+
+def without_return(line: Column) -> Column:
+    return F.when(line.endswith(RETURN), F.left(line, F.length(line) - 1)).otherwise(line)
+
+
 # -- fields --------------------------------------------------------------------
 
 
@@ -146,30 +157,33 @@ def role_cells(lines: DataFrame) -> DataFrame:
 def _whole_files(files: DataFrame, root: str) -> DataFrame:
     """(source_file, block_start, line_no, line, layout) of files read in one piece."""
     bom = F.hex(F.substring("content", 1, 2))
-    text = F.when(
-        bom.isin(UTF16_LE_BOM, UTF16_BE_BOM), F.decode("content", "UTF-16")
-    ).otherwise(F.col("content").cast("string"))
-    lines = files.select(
+    utf8_bom = F.hex(F.substring("content", 1, 3)) == UTF8_BOM
+    text = (
+        F.when(bom.isin(UTF16_LE_BOM, UTF16_BE_BOM), F.decode("content", "UTF-16"))
+        .when(utf8_bom, F.expr("substring(content, 4)").cast("string"))
+        .otherwise(F.col("content").cast("string"))
+    )
+    named = files.select(
         relative_name(F.col("_metadata.file_path"), root).alias("source_file"),
-        F.split(F.regexp_replace(text, "^" + BOM_CHARS, ""), "\r?\n").alias("lines"),
+        F.split(text, LINE_FEED).alias("lines"),
     )
-    filled = F.filter("lines", lambda x: F.trim(x) != "")
-    headed = lines.withColumn("header", F.get(filled, F.lit(0))).filter("header IS NOT NULL")
-    laid_out = headed.select(
-        "source_file",
-        "lines",
-        F.array_position("lines", F.col("header")).alias("header_at"),
-        layout_of(F.col("header"), F.col("source_file")).alias("layout"),
+    # the header is line 0 unless blank lines stand before it
+    blanks_first = F.array_position(F.transform("lines", lambda x: ~is_blank(x)), True) - 1
+    header_at = F.when(~is_blank(F.get("lines", F.lit(0))), 0).otherwise(blanks_first)
+    lines = evaluate_once(named, ["source_file", "lines"])
+    headed = lines.withColumn("header_at", header_at.cast("int")).withColumn(
+        "header", without_return(F.get("lines", F.col("header_at")))
     )
-    exploded = laid_out.select(
-        "source_file", "header_at", "layout", F.posexplode("lines").alias("line_no", "line")
+    headed = evaluate_once(headed, ["header_at", "header"]).filter("header_at >= 0")
+    laid_out = headed.withColumn("layout", layout_of(F.col("header"), F.col("source_file")))
+    exploded = evaluate_once(laid_out, ["layout"]).select(
+        "source_file", "layout", "header_at", F.posexplode("lines").alias("line_no", "line")
     )
-    data = exploded.filter((F.col("line_no") >= F.col("header_at")) & (F.trim("line") != ""))
-    return data.select(
+    return exploded.filter((F.col("line_no") > F.col("header_at")) & ~is_blank(F.col("line"))).select(
         "source_file",
         F.lit(0).cast("bigint").alias("block_start"),
         F.col("line_no").cast("bigint").alias("line_no"),
-        "line",
+        without_return(F.col("line")).alias("line"),
         "layout",
     )
 
@@ -209,7 +223,7 @@ def _record_text(encoding: Column, first: Column, source: Column) -> Column:
         .when(encoding == "UTF-16BE", big)
         .otherwise(F.col("bytes").cast("string"))
     )
-    return F.regexp_replace(text, "\r$", "")
+    return without_return(text)
 
 
 def _split_files(text: DataFrame, root: str, n_files: int) -> DataFrame:
@@ -257,7 +271,7 @@ def _split_files(text: DataFrame, root: str, n_files: int) -> DataFrame:
             _record_text(F.col("encoding"), F.lit(False), source).alias("line"),
             "layout",
         )
-        .filter(F.trim("line") != "")
+        .filter(~is_blank(F.col("line")))
     )
 
 
