@@ -192,30 +192,32 @@ def _record_text(encoding: Column, first: Column, source: Column) -> Column:
     """Text of a record cut at the byte 0A, whatever the encoding.
 
     A UTF-16 line feed is two bytes, so its 00 stays on a neighbouring record:
-    ahead of the next one (little endian) or behind this one (big endian). It
-    is taken off before decoding. A record that does not show it was cut inside
-    another character; that raises instead of giving wrong text.
+    ahead of the next one (little endian) or behind this one (big endian, where
+    only the last record of a file may lack it). It is taken off before
+    decoding. Where the byte 0A belonged to another character, the rest of that
+    character shows in the length or edge bytes of the next record; that raises
+    instead of giving wrong text.
     """
-    size = F.length("bytes")
-    odd = size % 2 == 1
-    ahead = odd & (F.hex(F.substring("bytes", 1, 1)) == "00")
-    behind = odd & (F.hex(F.expr("substring(bytes, length(bytes), 1)")) == "00")
+    odd = F.length("bytes") % 2 == 1
+    starts_00 = F.hex(F.substring("bytes", 1, 1)) == "00"
+    ends_00 = F.hex(F.expr("substring(bytes, length(bytes), 1)")) == "00"
     cut_wrong = F.raise_error(
         F.concat(F.lit("a UTF-16 character with the byte 0A needs a whole-file read of "), source)
     ).cast("string")
+    start = F.when(first, 3).otherwise(1)
 
-    def le(start: int) -> Column:
-        return F.decode(F.expr(f"substring(bytes, {start})"), "UTF-16LE")
-
-    def be(start: int, end: int) -> Column:
-        part = f"substring(bytes, {start}, length(bytes) - {start - 1 + end})"
-        return F.decode(F.expr(part), "UTF-16BE")
+    def decoded(begin: Column, end: Column, charset: str) -> Column:
+        return F.decode(F.substring("bytes", begin, end - begin + 1), charset)
 
-    little = F.when(first & ~odd, le(3)).when(~first & ahead, le(2)).otherwise(cut_wrong)
+    size = F.length("bytes")
+    little = (
+        F.when(first & ~odd, decoded(start, size, "UTF-16LE"))
+        .when(~first & odd & starts_00, decoded(F.lit(2), size, "UTF-16LE"))
+        .otherwise(cut_wrong)
+    )
     big = (
-        F.when(first & behind, be(3, 1))
-        .when(~first & behind, be(1, 1))
-        .when(~odd & F.col("in_last_block"), F.when(first, be(3, 0)).otherwise(be(1, 0)))
+        F.when(odd & ends_00, decoded(start, size - 1, "UTF-16BE"))
+        .when(~odd & ~ends_00, decoded(start, size, "UTF-16BE"))
         .otherwise(cut_wrong)
     )
     text = (
@@ -237,16 +239,12 @@ def _split_files(text: DataFrame, root: str, n_files: int) -> DataFrame:
     records = text.select(
         relative_name(meta["file_path"], root).alias("source_file"),
         meta["file_block_start"].alias("block_start"),
-        (meta["file_block_start"] + meta["file_block_length"] >= meta["file_size"]).alias(
-            "in_last_block"
-        ),
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").cast("binary").alias("bytes"),
     )
     start = records.filter("block_start = 0").groupBy("source_file").agg(
         F.min_by("bytes", "line_no").alias("bytes"),
         F.min("line_no").alias("header_at"),
-        F.min_by("in_last_block", "line_no").alias("in_last_block"),
     )
     bom = F.hex(F.substring("bytes", 1, 2))
     encoding = F.when(bom == UTF16_LE_BOM, "UTF-16LE").when(bom == UTF16_BE_BOM, "UTF-16BE")

@@ -25,6 +25,9 @@ from batchlake.sources.raw_text import read_raw_text, relative_name
 
 MAX_FILES_PER_TRIGGER = 1_000
 
+# Columns of Spark's binaryFile source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def layer_paths(out: str) -> dict[str, str]:
     base = out.rstrip("/")
@@ -67,6 +70,7 @@ def ingest_stream(
     """
     reader = (
         spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFilesPerTrigger", str(max_files))
