@@ -30,7 +30,8 @@ from batchlake.plans import monitor, reports
 from batchlake.plans.medallion import clean
 from batchlake.session import work_path
 from batchlake.sources import layers
-from batchlake.sources.raw_text import read_raw_text
+from batchlake.sources.raw_text import read_drop_folder, read_raw_text
+from batchlake.streaming.drop_folder import ingest_stream, layer_paths
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -97,12 +98,49 @@ def _(spark, sf_dir):
     return read_raw_text(spark, path).select(*ROLES)
 
 
-@query("S3_utf8_comma", RAW_TEXT_SQL)
+@query("S3_strip_bom", RAW_TEXT_SQL)
 def _(spark, sf_dir):
-    path = _drop_as_csv(spark, sf_dir, "UTF-8", ",")
+    path = work_path(spark, "drop")
+    rows = fx.sensor_raw(spark, sf_dir).select(*fx.HEADERS)
+    # a byte-order mark ahead of the first header is one ahead of the file
+    rows = rows.withColumnRenamed("Time", "\ufeffTime")
+    rows.write.options(header=True, encoding="UTF-8", sep=",").csv(path)
     return read_raw_text(spark, path).select(*ROLES)
 
 
+def _drop_in_folders(spark: SparkSession, sf_dir: str) -> str:
+    """One folder of CSV files for the first copies of the rows, one for the second."""
+    path = work_path(spark, "drop")
+    rows = fx.sensor_raw(spark, sf_dir).select(*fx.HEADERS, "source_file")
+    rows.write.partitionBy("source_file").options(header=True).csv(path)
+    return path
+
+
+FOLDER_BATCH = "concat('source_file=', source_file, '_combined') AS batch_id"
+
+
+@query("S4_read_drop_folder", sql_over("raw", f"SELECT {RAW_COLS}, {FOLDER_BATCH} FROM raw"))
+def _(spark, sf_dir):
+    path = _drop_in_folders(spark, sf_dir)
+    return read_drop_folder(spark, path).select(*ROLES, BATCH)
+
+
+@query(
+    "S5_ingest_stream",
+    sql_over(
+        "typed",
+        f'SELECT {FOLDER_BATCH}, count(DISTINCT "timestamp") AS rows FROM typed '
+        'WHERE "timestamp" IS NOT NULL AND batch_time_mins > 0 AND ph_level > 0 GROUP BY 1',
+    ),
+)
+def _(spark, sf_dir):
+    out = work_path(spark, "lake")
+    drop = _drop_in_folders(spark, sf_dir)
+    ingest_stream(spark, drop, out, work_path(spark, "stream")).awaitTermination()
+    silver = layers.read_layer(spark, layer_paths(out)["silver"], SILVER_SCHEMA)
+    return reports.rows_per_batch(silver, None)
+
+
 SILVER_ROWS_SQL = sql_over("silver", "SELECT * FROM silver")
 
 

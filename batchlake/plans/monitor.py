@@ -89,9 +89,10 @@ def series(recent: DataFrame, cols=("temperature_c", "ph_level", TARGET, "predic
 
 def error_histogram(recent: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """Equal-width bins between smallest and greatest error; only bins with rows."""
-    lo = recent.agg(F.min("error")).scalar()
-    hi = recent.agg(F.max("error")).scalar()
-    bounded = recent.filter("error IS NOT NULL").select("error", lo.alias("lo"), hi.alias("hi"))
+    span = recent.agg(F.struct(F.min("error").alias("lo"), F.max("error").alias("hi"))).scalar()
+    bounded = recent.filter("error IS NOT NULL").select(
+        "error", span["lo"].alias("lo"), span["hi"].alias("hi")
+    )
     width = (F.col("hi") - F.col("lo")) / bins
     position = F.floor(F.try_divide(F.col("error") - F.col("lo"), width))
     placed = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
