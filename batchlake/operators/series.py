@@ -5,11 +5,12 @@ while batches are small, and the wrong one when a batch holds a third of the
 data. The helpers here count rows per batch first and choose:
 
 * no large batch: the plain window, one shuffle;
-* otherwise: large batches are cut into time slices of about ``slice_rows``
-  rows. Windows run per (batch, slice). Rows close to a slice edge, whose frame
-  reaches into a neighbour slice, are computed a second time from the rows near
-  the edges only (at most ``2 * (back + ahead)`` rows per slice), which is a
-  tiny fraction of the batch. Both parts read the same shuffle.
+* otherwise: small batches keep the plain window, and large ones are cut into
+  time slices of about ``slice_rows`` rows. Their windows run per (batch,
+  slice). Rows close to a slice edge, whose frame reaches into a neighbour
+  slice, are computed from the rows near the edges only (at most
+  ``2 * (back + ahead)`` rows per slice), which is a tiny fraction of the batch.
+  Both parts of a large batch read the same shuffle.
 
 The outcome is the same rows and values either way.
 """
@@ -50,6 +51,9 @@ def second_number(df: DataFrame, order: str) -> Column:
     kind = df.schema[order].dataType
     at = F.col(order)
     if isinstance(kind, T.TimestampNTZType):
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "Z"):
+            return F.unix_seconds(at.cast("timestamp"))
+        # a zone with clock changes would put some wall-clock times out of order
         days = F.unix_date(at.cast("date")).cast("bigint")
         return days * 86_400 + F.hour(at) * 3_600 + F.minute(at) * 60 + F.second(at)
     if isinstance(kind, T.TimestampType):
@@ -106,52 +110,57 @@ def over_batches(
     """
     per_batch = per_batch or {}
     whole = Window.partitionBy(batch).orderBy(order)
+    every = _all_rows(whole)
 
     def windowed(rows: DataFrame, spec: WindowSpec, *more: Column) -> DataFrame:
         return rows.select("*", *[fn(spec).alias(name) for name, fn in exprs.items()], *more)
 
+    def plain(rows: DataFrame) -> DataFrame:
+        return windowed(rows, whole, *[agg.over(every).alias(n) for n, agg in per_batch.items()])
+
     if not profile.has_large:
-        rows = windowed(df, whole)
-        every = Window.partitionBy(batch)
-        return rows.select("*", *[agg.over(every).alias(n) for n, agg in per_batch.items()])
+        return plain(df)
+
+    large = _large_batches(df, per_batch, profile, batch)
+    small_rows = df.join(large.select(batch), on=batch, how="left_anti").select(*df.columns)
+    large_rows = df.join(large, on=batch).select(
+        *[df[c] for c in df.columns],
+        *per_batch,
+        F.floor(second_number(df, order) / F.col("_width")).cast("bigint").alias("_slice"),
+    )
 
     sliced = Window.partitionBy(batch, "_slice").orderBy(order)
-    reach = back + ahead
-    mark = F.lit(True)
-
-    def has(offset: int) -> Column:
-        if offset == 0:
-            return mark
-        moved = F.lag(mark, offset) if offset > 0 else F.lead(mark, -offset)
-        return moved.over(sliced).isNotNull()
-
-    is_large = F.col("_width").isNotNull()
-    flagged = windowed(
-        _sliced_rows(df, per_batch, profile, batch, order),
+    placed = windowed(
+        large_rows,
         sliced,
-        (~is_large | (has(back) & has(-ahead))).alias("_inner"),
-        (is_large & ~(has(reach) & has(-reach))).alias("_near_edge"),
+        F.row_number().over(sliced).alias("_nth"),
+        F.count("*").over(_all_rows(sliced)).alias("_of"),
     )
-    # a small batch is one slice, so a window over the slice covers it
-    slice_all = Window.partitionBy(batch, "_slice")
-    flagged = flagged.withColumns(
-        {n: F.when(is_large, F.col(f"_{n}")).otherwise(agg.over(slice_all)) for n, agg in per_batch.items()}
-    )
-    inner = flagged.filter("_inner")
-    edges = flagged.filter("_near_edge").select(*df.columns, "_inner", *per_batch)
-    edges = windowed(edges, whole).filter("NOT _inner")
+    before, after = F.col("_nth") - 1, F.col("_of") - F.col("_nth")
+    reach = back + ahead
+    is_inner = (before >= back) & (after >= ahead)
+    near_edge = placed.filter((before < reach) | (after < reach))
+    near_edge = near_edge.select(*df.columns, *per_batch, is_inner.alias("_inner"))
+
     out = [*df.columns, *exprs, *per_batch]
-    return inner.select(*out).union(edges.select(*out)) if reach else inner.select(*out)
+    inner = placed.filter(is_inner).select(*out)
+    edges = windowed(near_edge, whole).filter("NOT _inner").select(*out)
+    return plain(small_rows).select(*out).union(inner).union(edges)
+
+
+def _all_rows(spec: WindowSpec) -> WindowSpec:
+    """The whole partition, ordered like ``spec`` so that both share one window pass."""
+    return spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def _sliced_rows(
-    df: DataFrame, per_batch: Mapping[str, Column], profile: BatchProfile, batch: str, order: str
+def _large_batches(
+    df: DataFrame, per_batch: Mapping[str, Column], profile: BatchProfile, batch: str
 ) -> DataFrame:
-    """Rows with ``_width`` (seconds, NULL in small batches), ``_slice`` and, for
-    large batches, their whole-batch aggregates as ``_<name>``.
+    """Batches above ``slice_rows`` with their slice width in seconds and aggregates.
 
-    Only large batches are in the joined table, so it has at most
-    (all rows / slice_rows) rows.
+    At most (all rows / slice_rows) rows, counted by the profile, so the
+    broadcast has a known bound; beyond ``BROADCAST_KEYS`` the join is Spark's
+    choice.
     """
     # from the rows per second that has any row at all, so that gaps and stray
     # timestamps do not distort the width
@@ -162,8 +171,6 @@ def _sliced_rows(
         F.col(BATCH).alias(batch), F.greatest(seconds, F.lit(1)).alias("_width")
     )
     if per_batch:
-        values = df.groupBy(batch).agg(*[agg.alias(f"_{n}") for n, agg in per_batch.items()])
+        values = df.groupBy(batch).agg(*[agg.alias(n) for n, agg in per_batch.items()])
         large = attach(large, values, batch)
-    rows = attach(df, large, batch, profile.n_large)
-    number = F.floor(second_number(df, order) / F.col("_width")).cast("bigint")
-    return rows.withColumn("_slice", number)
+    return F.broadcast(large) if profile.n_large <= BROADCAST_KEYS else large
