@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import line_dedup, sharding, warc
+from batchlake.llm import bpe, line_dedup, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "text", "n_lines", "n_dropped")
 
 
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = public_tokenizers.path(VOCABULARY)
+    return bpe.encoded(docs, F.col("text"), path, public_tokenizers.PATTERN, ["doc_id"], ids=False)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model, [F.col("doc_id")]).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 OP10_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (SELECT page_id, strlen(body) AS n, sha1(body) AS digest FROM p),
