@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import bpe, line_dedup, sharding, toxicity, warc
+from batchlake.llm import bpe, decontaminate, line_dedup, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "text", "n_lines", "n_dropped")
 
 
+@query("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.matched(docs, benchmark, [F.col("doc_id")]).select(
+        "doc_id",
+        (F.size("matches") > 0).alias("contaminated"),
+        F.col("matches.item_id").alias("item_ids"),
+        "matches",
+    )
+
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
