@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import struct
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -22,8 +23,9 @@ from pyspark.sql import types as T
 
 from batchlake.llm.base import small_batches
 
-#: Pieces kept by a worker, and the length up to which one is kept.
-CACHED_PIECES = 400_000
+NONE = -1
+#: Pieces kept by a worker (and as many older ones), and the length up to which one is kept.
+CACHED_PIECES = 500_000
 CACHED_CHARS = 48
 
 
@@ -43,8 +45,9 @@ class Vocabulary:
                     self.halves[rank] = (parts[0], parts[1])
                     self.joined[parts[0], parts[1]] = rank
         #: tokens that merging can make; others stand only for a piece equal to them
-        self.made = {t: r for t, r in ranks.items() if len(t) == 1 or r in self.halves}
-        self.tails = {t[i:] for t in self.made for i in range(len(t))}
+        made = {t: r for t, r in ranks.items() if len(t) == 1 or r in self.halves}
+        #: each tail of a token: the token that it is itself, or NONE
+        self.tails = dict.fromkeys((t[i:] for t in made for i in range(len(t))), NONE) | made
         self._apart: dict[tuple[int, int], bool] = {}
 
     @classmethod
@@ -71,11 +74,40 @@ class Vocabulary:
         shows each pair that ever met at the border and for how long. Had one of them a
         merge that was due in that time, it would have crossed the border.
         """
-        known = self._apart.get((left, right))
-        if known is None:
-            known = self._apart[left, right] = self._never_crossed(left, right)
+        known = self._apart[left, right] = self._never_crossed(left, right)
         return known
 
+    def extend(self, data: bytes, last: list[int]) -> None:
+        """Add the last tokens of the prefixes of ``data`` that ``last`` does not have yet."""
+        tails, apart = self.tails.get, self._apart.get
+        for end in range(len(last), len(data) + 1):
+            start = end - 1
+            while start >= 0:
+                token = tails(data[start:end])
+                if token is None:  # no token ends like this
+                    start = 0
+                elif token >= 0:
+                    if not start:
+                        break
+                    before = last[start]
+                    known = apart((before, token))
+                    if self.apart(before, token) if known is None else known:
+                        break
+                start -= 1
+            if start < 0:
+                raise ValueError("a byte without a token")
+            last.append(token)
+
+    def read_off(self, data: bytes, last: list[int]) -> list[int]:
+        """The encoding, from its end to its start and turned round."""
+        out, at = [], len(data)
+        while at:
+            token = last[at]
+            out.append(token)
+            at -= len(self.bytes_of[token])
+        out.reverse()
+        return out
+
     def _never_crossed(self, a: int, b: int) -> bool:
         until = len(self.ranks) * 2  # the rank at which the pair at the border ceases to be
         while True:
@@ -98,25 +130,13 @@ class PrefixTable:
     """``last[i]`` is the last token of the encoding of the first ``i`` bytes."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
+        self.vocabulary, self.data, self.last = vocabulary, b"", [NONE]
         self.append(data)
 
-    def _token_at(self, end: int) -> int:
-        data, last, v = self.data, self.last, self.vocabulary
-        for start in range(end - 1, -1, -1):
-            tail = data[start:end]
-            if tail not in v.tails:
-                break
-            token = v.made.get(tail)
-            if token is not None and (start == 0 or v.apart(last[start], token)):
-                return token
-        raise ValueError("a byte without a token")
-
     def append(self, more: bytes) -> PrefixTable:
         """Exact: earlier entries do not depend on what follows."""
         self.data += more
-        for end in range(len(self.last), len(self.data) + 1):
-            self.last.append(self._token_at(end))
+        self.vocabulary.extend(self.data, self.last)
         return self
 
     def replace(self, start: int, end: int, new: bytes) -> int:
@@ -129,7 +149,7 @@ class PrefixTable:
         self.data, self.last = self.data[:start] + new + tail, old[: start + 1]
         shift, agreed, reach = len(new) - (end - start), 0, self.vocabulary.longest
         for at in range(start + 1, len(self.data) + 1):
-            self.last.append(self._token_at(at))
+            self.vocabulary.extend(self.data[:at], self.last)
             inside = at - shift > end
             agreed = agreed + 1 if inside and self.last[at] == old[at - shift] else 0
             if agreed >= reach:
@@ -138,26 +158,30 @@ class PrefixTable:
         return len(self.data) - start
 
     def tokens(self) -> list[int]:
-        out, at, sizes = [], len(self.data), self.vocabulary.bytes_of
-        while at:
-            out.append(self.last[at])
-            at -= len(sizes[self.last[at]])
-        return out[::-1]
+        return self.vocabulary.read_off(self.data, self.last)
 
 
 class Encoder(dict):
     """Encodes texts; as a dict it keeps the ids of pieces as little-endian bytes."""
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
-        self.vocabulary, self.pieces = vocabulary, regex.compile(pattern)
+        self.vocabulary, self.pieces, self.older = vocabulary, regex.compile(pattern), {}
 
     def __missing__(self, piece: str) -> bytes:
         data = piece.encode("utf-8", "replace")
-        whole = self.vocabulary.ranks.get(data)
-        ids = [whole] if whole is not None else PrefixTable(self.vocabulary, data).tokens()
-        packed = np.array(ids, "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            whole = self.vocabulary.ranks.get(data)
+            if whole is not None:
+                ids = [whole]
+            else:
+                last = [NONE]
+                self.vocabulary.extend(data, last)
+                ids = self.vocabulary.read_off(data, last)
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED_PIECES:
+            if len(self) >= CACHED_PIECES:  # the pieces in use come back from the older half
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
