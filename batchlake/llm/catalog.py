@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import bpe, decontaminate, line_dedup, sharding, toxicity, warc
+from batchlake.llm import bpe, decontaminate, line_dedup, ngram_join, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,36 @@ def query(name: str, sql: str | None = None) -> Callable[[Build], Build]:
     return register
 
 
+def component_sql(node: str, edges: str) -> str:
+    """Recursive part: (node, root) with the smallest node reachable, by steps along ``edges`` (x, y)."""
+    return f"""
+  reach(x, y) AS (SELECT {node} AS x, {node} AS y FROM nodes UNION SELECT r.x, e.y FROM reach r JOIN {edges} e ON e.x = r.y),
+  roots AS (SELECT x, min(y) AS root FROM reach GROUP BY x)"""
+
+
+def ngram_sql(n: int, percent: int, texts: str = "documents") -> str:
+    """DuckDB: doc_id, n_shingles, component_id of the n-gram Jaccard join over ``texts``."""
+    return f"""
+WITH RECURSIVE
+  words AS (SELECT doc_id, list_filter(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM {texts}),
+  sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+      WHEN len(w) < {n} THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - {n - 2}), lambda i: array_to_string(w[i:i + {n - 1}], ' '))) END AS s FROM words),
+  nodes AS (SELECT doc_id, len(s) AS n_shingles FROM sets),
+  grams AS (SELECT doc_id, unnest(s) AS g FROM sets),
+  shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+  linked AS (SELECT x, y FROM shared JOIN nodes p ON p.doc_id = x JOIN nodes q ON q.doc_id = y
+    WHERE 100 * n_both >= {percent} * (p.n_shingles + q.n_shingles - n_both)),{component_sql("doc_id", "linked")}
+SELECT doc_id, n_shingles, root AS component_id FROM nodes JOIN roots ON x = doc_id"""
+
+
+@query("op1_ngram_jaccard", ngram_sql(4, 85))
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 @query("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 8)
