@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import bpe, decontaminate, line_dedup, ngram_join, secrets, sharding, toxicity, warc
+from batchlake.llm import bpe, decontaminate, embedding_dedup, line_dedup, ngram_join, secrets, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+LEAST_COSINE = 0.93
+
+OP2_SQL = f"""
+WITH RECURSIVE
+  nodes AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+  good AS (SELECT * FROM nodes WHERE vec_id IS NOT NULL AND label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+  linked AS (SELECT a.vec_id AS x, b.vec_id AS y FROM good a JOIN good b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_cosine_similarity(a.v, b.v) >= {LEAST_COSINE}),{component_sql("vec_id", "linked")},
+  links AS (SELECT x, count(*) AS n FROM linked GROUP BY x)
+SELECT vec_id, coalesce(n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+FROM nodes JOIN roots ON roots.x = vec_id LEFT JOIN links ON links.x = vec_id"""
+
+
+@query("op2_embedding_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), LEAST_COSINE)
+
+
 @query("op3_secret_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.with_secrets(table(spark, sf_dir, "documents"), [F.col("doc_id")])
