@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlake.session import work_path
 
+#: Functions of this subpackage travel to the workers whole, so that the package need not
+#: be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
+
 #: Rows and bytes of one Arrow batch: documents can be long, so few rows at a time.
-ARROW_ROWS = 256
-ARROW_BYTES = 16 << 20
+ARROW_ROWS = 128
+ARROW_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

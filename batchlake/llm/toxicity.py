@@ -23,7 +23,7 @@ from batchlake.llm.words import WordHasher, lower_ascii, mix
 
 DIMENSIONS = 1 << 20
 #: Labelled rows that a model is fitted on, at most: the first by a hash of their id.
-SAMPLE_ROWS = 24_000
+SAMPLE_ROWS = 12_000
 #: Score from which a document counts as toxic.
 THRESHOLD = 0.7
 
@@ -83,7 +83,8 @@ def fit(rows: list[tuple[np.ndarray, int]], ftrl: Ftrl = Ftrl()) -> tuple[np.nda
     for at, _ in rows:
         seen[at] += 1
     seen[DIMENSIONS] = ftrl.least_rows
-    rows = [(np.append(at[seen[at] >= ftrl.least_rows], DIMENSIONS), label) for at, label in rows]
+    for i, (at, label) in enumerate(rows):  # in place: the whole rows go one by one
+        rows[i] = np.append(at[seen[at] >= ftrl.least_rows], DIMENSIONS), label
     for _ in range(ftrl.epochs):
         for at, label in rows:
             w = weights(at)
