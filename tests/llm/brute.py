@@ -51,3 +51,35 @@ def secret_row(text: str | None) -> tuple:
     kinds = [k for _, k, _ in base]
     digest = hashlib.sha256(listed(base).encode()).hexdigest()
     return kinds.count(0), kinds.count(1), kinds.count(2), len(added), digest, listed(base + added)
+
+
+def shingles(text: str | None, n: int) -> set:
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(words) < n:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}
+
+
+def components(n: int, links) -> list[int]:
+    """For each of n places the least place it reaches."""
+    root = list(range(n))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in links:
+        a, b = top(i), top(j)
+        root[max(a, b)] = min(a, b)
+    return [top(i) for i in range(n)]
+
+
+def jaccard_links(texts: list, n: int, percent: int) -> list[tuple[int, int]]:
+    sets = [shingles(t, n) for t in texts]
+    return [
+        (i, j)
+        for i in range(len(sets))
+        for j in range(i + 1, len(sets))
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+    ]
