@@ -11,12 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from batchlake.functions.cells import HASH_RANGE
 from batchlake.functions.schema import BATCH, MODEL_INPUTS, TARGET, TIME
 from batchlake.operators.features import build_features
 from batchlake.operators.learn import prediction_table, split
 from batchlake.operators.series import SLICE_ROWS, BatchProfile, profile_batches
 from batchlake.plans.medallion import clean
-from batchlake.plans.monitor import latest_n
+from batchlake.plans.monitor import LATEST_ROWS, latest_n
 from batchlake.session import prepare
 
 HEADERS = {
@@ -193,13 +194,13 @@ GOLD_SQL = f"""
 gold AS (SELECT * FROM wide WHERE {COMPLETE_SQL} AND {TARGET} > 0)"""
 
 
-def split_sql(by: str = "row", seed: int = 42) -> str:
+def split_sql(by: str = "row", seed: int = 42, train_frac: float = 0.8) -> str:
     key = "batch_id"
     if by == "row":
         key += """, strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f')"""
     text = f"concat_ws('|', '{seed}', {key})"
     number = f"CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)"
-    return f"CASE WHEN {number} % 100 < 80 THEN 'train' ELSE 'test' END"
+    return f"CASE WHEN {number} < {int(train_frac * HASH_RANGE)} THEN 'train' ELSE 'test' END"
 
 
 PREDICTIONS_SQL = f"""
@@ -209,10 +210,13 @@ predictions AS (
          viscosity_lag_1 AS prediction, batch_id
   FROM labelled WHERE split = 'test')"""
 
-RECENT_SQL = """
+
+def recent_sql(n: int = LATEST_ROWS) -> str:
+    return f"""
 recent AS (
   SELECT *, abs(prediction - viscosity_target_10min) AS error
-  FROM predictions ORDER BY "timestamp" DESC, batch_id DESC LIMIT 5000)"""
+  FROM predictions ORDER BY "timestamp" DESC, batch_id DESC LIMIT {n})"""
+
 
 _CHAIN = [
     ("raw", RAW_SQL),
@@ -221,7 +225,7 @@ _CHAIN = [
     ("wide", WIDE_SQL),
     ("gold", GOLD_SQL),
     ("predictions", PREDICTIONS_SQL),
-    ("recent", RECENT_SQL),
+    ("recent", recent_sql()),
 ]
 
 

@@ -22,12 +22,13 @@ from batchlake.functions.schema import (
     SILVER_SCHEMA,
     TARGET,
     TIME,
+    with_extra,
 )
 from batchlake.operators import clean as cl
 from batchlake.operators import features as ft
 from batchlake.operators import learn
 from batchlake.plans import monitor, reports
-from batchlake.plans.medallion import clean
+from batchlake.plans.medallion import clean, fit_and_score, run_layers
 from batchlake.session import work_path
 from batchlake.sources import layers
 from batchlake.sources.raw_text import read_drop_folder, read_raw_text
@@ -36,7 +37,8 @@ from batchlake.streaming.drop_folder import ingest_stream, layer_paths
 Build = Callable[[SparkSession, str], DataFrame]
 
 SMALL_SLICE = 20
-QUERY_FOREST = {"trees": 20, "depth": 5}
+#: One tree without a split, on all rows: its forecast is the mean, which SQL can say too.
+STUMP = {"trees": 1, "depth": 0, "bootstrap": False}
 
 
 @dataclass(frozen=True)
@@ -144,6 +146,40 @@ def _(spark, sf_dir):
 SILVER_ROWS_SQL = sql_over("silver", "SELECT * FROM silver")
 
 
+@query(
+    "S5_drop_to_predictions",
+    sql_over(
+        "predictions",
+        'SELECT batch_id, "timestamp", '
+        f"{TARGET}, round({{stump}}, 6) AS prediction, "
+        "(SELECT count(*) FROM labelled WHERE split = 'train') AS train_rows, "
+        "(SELECT count(*) FROM predictions) AS test_rows FROM predictions".replace(
+            "{stump}", f"(SELECT avg({TARGET}) FROM labelled WHERE split = 'train')"
+        ),
+    ),
+)
+def _(spark, sf_dir):
+    """Raw rows to layers, model and stored predictions, read back with the run's own sizes."""
+    silver, gold, model, path = (work_path(spark, n) for n in ("silver", "gold", "model", "predictions"))
+    run_layers(spark, fx.sensor_raw(spark, sf_dir), silver, gold)
+    _, report = fit_and_score(spark, gold, model, path, **STUMP)
+    sizes = report.select("train_rows", "test_rows")
+    rows = layers.read_layer(spark, path, PREDICTION_SCHEMA).join(F.broadcast(sizes))  # one row
+    return rows.select(BATCH, TIME, TARGET, F.round("prediction", 6).alias("prediction"), "train_rows", "test_rows")
+
+
+@query(
+    "F9_pass_through",
+    sql_over("gold", "SELECT batch_id, \"timestamp\", '1234.5' AS note FROM gold"),
+)
+def _(spark, sf_dir):
+    """A column of the raw rows that has no role reaches the feature layer, without its commas."""
+    silver, gold = work_path(spark, "silver"), work_path(spark, "gold")
+    raw = fx.sensor_raw(spark, sf_dir).withColumn("extra", F.create_map(F.lit("note"), F.lit("1,234.5")))
+    run_layers(spark, raw, silver, gold)
+    return layers.read_layer(spark, gold, with_extra(GOLD_SCHEMA)).select(BATCH, TIME, F.col("extra.note").alias("note"))
+
+
 @query("S7_write_layer", SILVER_ROWS_SQL)
 def _(spark, sf_dir):
     path = work_path(spark, "silver")
@@ -163,13 +199,13 @@ def _(spark, sf_dir):
 
 @query(
     "S9_read_layer",
-    "SELECT event_id, ts, user_id, event_type, value FROM events",
+    "SELECT event_id, ts, user_id, event_type, value, props FROM events",
 )
 def _(spark, sf_dir):
     return layers.read_layer(
         fx.prepare(spark),
         f"{sf_dir}/events.parquet",
-        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     )
 
 
@@ -206,15 +242,13 @@ def _(spark, sf_dir):
     "C3_null_tokens",
     sql_over(
         "raw",
-        "SELECT nullif(batch_time_mins, 'Null') AS batch_time_mins, "
+        "SELECT nullif(batch_time_mins, 'Null') AS batch_time_mins, temperature_c, ph_level, "
         "nullif(viscosity_cp, 'Null') AS viscosity_cp, nullif(r1_mass, 'NaN') AS r1_mass, "
         f"{RAW_KEY} FROM raw",
     ),
 )
 def _(spark, sf_dir):
-    return cl.null_tokens(_roles(spark, sf_dir)).select(
-        "batch_time_mins", "viscosity_cp", "r1_mass", *KEYED
-    )
+    return cl.null_tokens(_roles(spark, sf_dir)).select(*SENSORS, *KEYED)
 
 
 @query(
@@ -229,12 +263,12 @@ def _(spark, sf_dir):
     sql_over(
         "raw",
         "SELECT "
-        + ", ".join(f"try_cast({c} AS DOUBLE) AS {c}" for c in SENSORS[:-1])
+        + ", ".join(f"try_cast({c} AS DOUBLE) AS {c}" for c in SENSORS)
         + f", {RAW_KEY} FROM raw",
     ),
 )
 def _(spark, sf_dir):
-    return cl.cast_numeric(_roles(spark, sf_dir)).select(*SENSORS[:-1], *KEYED)
+    return cl.cast_numeric(_roles(spark, sf_dir)).select(*SENSORS, *KEYED)
 
 
 @query(
@@ -451,16 +485,12 @@ def _(spark, sf_dir):
     return assembled.select(BATCH, TIME, vector_to_array("features").alias("features"))
 
 
-_fitted: dict[tuple[str, str], PipelineModel] = {}
+def fitted(spark: SparkSession, sf_dir: str, **forest) -> PipelineModel:
+    train_rows, _ = learn.split(fx.sensor_gold(spark, sf_dir))
+    return learn.train(train_rows, **forest)
 
 
-def fitted(spark: SparkSession, sf_dir: str) -> PipelineModel:
-    """A small forest, fitted once per session and data set."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _fitted:
-        train_rows, _ = learn.split(fx.sensor_gold(spark, sf_dir))
-        _fitted[key] = learn.train(train_rows, **QUERY_FOREST)
-    return _fitted[key]
+STUMP_SQL = f"(SELECT avg({TARGET}) FROM labelled WHERE split = 'train')"
 
 
 def _scored(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataFrame:
@@ -468,17 +498,51 @@ def _scored(spark: SparkSession, sf_dir: str, model: PipelineModel) -> DataFrame
     return learn.score(model, test_rows)
 
 
-@query("M3_train")
+@query(
+    "M3_train_stump",
+    sql_over(
+        "predictions",
+        f"SELECT count(*) AS rows, round(sqrt(avg(pow({TARGET} - {STUMP_SQL}, 2))), 6) AS rmse FROM predictions",
+    ),
+)
+def _(spark, sf_dir):
+    scored = _scored(spark, sf_dir, fitted(spark, sf_dir, **STUMP))
+    return scored.agg(F.count("*").alias("rows"), F.round(learn.rmse_expr(), 6).alias("rmse"))
+
+
+@query(
+    "M4_score_stump",
+    sql_over("predictions", f'SELECT batch_id, "timestamp", round({STUMP_SQL}, 6) AS prediction FROM predictions'),
+)
+def _(spark, sf_dir):
+    scored = _scored(spark, sf_dir, fitted(spark, sf_dir, **STUMP))
+    return scored.select(BATCH, TIME, F.round("prediction", 6).alias("prediction"))
+
+
+@query(
+    "M4_score",
+    sql_over("predictions", f'SELECT batch_id, "timestamp", {TARGET}, true AS scored FROM predictions'),
+)
 def _(spark, sf_dir):
     scored = _scored(spark, sf_dir, fitted(spark, sf_dir))
-    return scored.agg(
-        F.count("*").alias("rows"), learn.rmse_expr().alias("rmse"), learn.r2_expr().alias("r2")
-    )
+    return scored.select(BATCH, TIME, TARGET, F.col("prediction").isNotNull().alias("scored"))
 
 
-@query("M4_score")
+# The real forest: which rows it scores, and that no forecast leaves the range it was taught.
+@query(
+    "M3_train",
+    sql_over(
+        "predictions",
+        'SELECT batch_id, "timestamp", true AS in_taught_range FROM predictions',
+    ),
+)
 def _(spark, sf_dir):
-    return _scored(spark, sf_dir, fitted(spark, sf_dir)).select(BATCH, TIME, TARGET, "prediction")
+    taught, _ = learn.split(fx.sensor_gold(spark, sf_dir))
+    span = taught.agg(F.min(TARGET).alias("lo"), F.max(TARGET).alias("hi"))
+    scored = _scored(spark, sf_dir, fitted(spark, sf_dir)).join(F.broadcast(span))  # one row
+    # a mean of equal numbers may differ from them in the last digit
+    inside = (F.col("prediction") >= F.col("lo") - 1e-6) & (F.col("prediction") <= F.col("hi") + 1e-6)
+    return scored.select(BATCH, TIME, inside.alias("in_taught_range"))
 
 
 @query(
@@ -502,9 +566,22 @@ def _(spark, sf_dir):
     return learn.r2(fx.predictions(spark, sf_dir)).select(F.round("r2", 6).alias("r2"))
 
 
-@query("M7_feature_importance")
+INPUT_ROWS = " UNION ALL ".join(f"SELECT '{name}' AS feature" for name in MODEL_INPUTS)
+
+
+@query(
+    "M7_feature_importance",
+    f"""SELECT count(*) AS features, string_agg(feature, ',' ORDER BY feature) AS names, 1.0::DOUBLE AS total,
+  100.0::DOUBLE AS total_pct, 91::BIGINT AS ranks FROM ({INPUT_ROWS})""",
+)
 def _(spark, sf_dir):
-    return learn.feature_importance(spark, fitted(spark, sf_dir))
+    return learn.feature_importance(spark, fitted(spark, sf_dir)).agg(
+        F.count("*").alias("features"),
+        F.array_join(F.array_sort(F.collect_list("feature")), ",").alias("names"),
+        F.round(F.sum("importance"), 6).alias("total"),
+        F.round(F.sum("importance_pct"), 6).alias("total_pct"),
+        F.sum("rank").alias("ranks"),
+    )
 
 
 @query("M8_prediction_table", PREDICTION_ROWS_SQL)
@@ -522,11 +599,16 @@ def _(spark, sf_dir):
     return learn.split_sizes(fx.sensor_gold(spark, sf_dir))
 
 
-@query("S11_save_model")
+@query(
+    "S11_save_model",
+    sql_over("predictions", 'SELECT batch_id, "timestamp", true AS same FROM predictions'),
+)
 def _(spark, sf_dir):
-    path = work_path(spark, "model")
-    layers.save_model(fitted(spark, sf_dir), path)
-    return learn.prediction_table(_scored(spark, sf_dir, layers.load_model(path)))
+    path, model = work_path(spark, "model"), fitted(spark, sf_dir)
+    layers.save_model(model, path)
+    before = _scored(spark, sf_dir, model).select(BATCH, TIME, F.col("prediction").alias("before"))
+    after = _scored(spark, sf_dir, layers.load_model(path)).select(BATCH, TIME, "prediction")
+    return before.join(after, [BATCH, TIME]).select(BATCH, TIME, (F.col("before") == F.col("prediction")).alias("same"))
 
 
 # -- reports -------------------------------------------------------------------
@@ -626,14 +708,14 @@ def _(spark, sf_dir):
     sql_over(
         "gold",
         "SELECT min(viscosity_cp) AS min_visc, max(viscosity_cp) AS max_visc, "
-        "round(avg(viscosity_cp), 6) AS avg_visc, round(avg(batch_progress_pct), 6) AS avg_batch_pct, "
+        "round(avg(viscosity_cp), 6) AS avg_visc, round(avg(batch_progress_pct), 6) AS \"avg_batch_%\", "
         "round(avg(temp_rate_change), 6) AS avg_temp_rate FROM gold",
     ),
 )
 def _(spark, sf_dir):
     stats = reports.feature_stats(fx.sensor_gold(spark, sf_dir))
     return stats.withColumns(
-        {c: F.round(c, 6) for c in ("avg_visc", "avg_batch_pct", "avg_temp_rate")}
+        {c: F.round(c, 6) for c in ("avg_visc", "avg_batch_%", "avg_temp_rate")}
     )
 
 
@@ -680,6 +762,18 @@ def _(spark, sf_dir):
     return fx.recent(spark, sf_dir)
 
 
+#: Fewer than the rows there are, so that the cut and its ties on time count.
+FEW_ROWS = 60
+
+
+@query(
+    "D1_latest_n_of_more",
+    sql_over("predictions", f"{fx.recent_sql(FEW_ROWS).strip().removeprefix('recent AS (').removesuffix(')')}"),
+)
+def _(spark, sf_dir):
+    return monitor.latest_n(fx.predictions(spark, sf_dir), FEW_ROWS)
+
+
 NEWEST = '(SELECT * FROM recent ORDER BY "timestamp" DESC, batch_id DESC LIMIT 1)'
 
 
@@ -762,9 +856,16 @@ def _(spark, sf_dir):
     return monitor.error_histogram(fx.recent(spark, sf_dir))
 
 
-@query("D9_importance_series")
+@query(
+    "D9_importance_series",
+    """SELECT * FROM (VALUES ('high', 3::BIGINT, 1, 3), ('middle', 3, 4, 6), ('low', 7, 7, 13))
+  t(tier, features, first_rank, last_rank)""",
+)
 def _(spark, sf_dir):
-    return monitor.importance_series(learn.feature_importance(spark, fitted(spark, sf_dir)))
+    tiers = monitor.importance_series(learn.feature_importance(spark, fitted(spark, sf_dir)))
+    return tiers.groupBy("tier").agg(
+        F.count("*").alias("features"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank")
+    )
 
 
 @query(
@@ -772,14 +873,15 @@ def _(spark, sf_dir):
     sql_over(
         "recent",
         f"""SELECT l.latest_time, l.temperature_c, l.ph_level, l.actual_cp, l.prediction, l.in_range, l.status,
-  a.avg_error, a.avg_error < 50 AS error_ok, a.rmse, a.r2, a.n_batches, a.rows_shown
+  a.avg_error, a.avg_error < 50 AS error_ok, m.rmse, m.r2, a.n_batches, a.rows_shown
 FROM (SELECT "timestamp" AS latest_time, {half_up('temperature_c', 1)} AS temperature_c,
         {half_up('ph_level', 2)} AS ph_level, {half_up(TARGET, 1)} AS actual_cp, {ALERT_SQL}
       FROM {NEWEST}) l,
-     (SELECT {half_up('avg(error)', 2)} AS avg_error, {R2_SQL} AS r2,
-        round(sqrt(avg(pow({TARGET} - prediction, 2))), 6) AS rmse,
-        count(DISTINCT batch_id) AS n_batches, count(*) AS rows_shown FROM recent) a""",
-    ),
+     (SELECT {half_up('avg(error)', 2)} AS avg_error,
+        count(DISTINCT batch_id) AS n_batches, count(*) AS rows_shown FROM recent) a,
+     (SELECT {R2_SQL} AS r2, round(sqrt(avg(pow({TARGET} - prediction, 2))), 6) AS rmse FROM predictions) m""",
+    ).replace("LIMIT 5000", f"LIMIT {FEW_ROWS}"),
 )
 def _(spark, sf_dir):
-    return monitor.monitor_snapshot(fx.recent(spark, sf_dir))
+    predictions = fx.predictions(spark, sf_dir)
+    return monitor.monitor_snapshot(monitor.latest_n(predictions, FEW_ROWS), predictions)

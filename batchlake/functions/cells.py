@@ -82,11 +82,13 @@ def time_text(value: Column) -> Column:
     return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-def hash_percent(seed: int, *parts: Column) -> Column:
-    """0..99 from the md5 of seed and key parts; the same on every engine and run."""
+HASH_RANGE = 1 << 32
+
+
+def hash_number(seed: int, *parts: Column) -> Column:
+    """0 to HASH_RANGE - 1 from the md5 of seed and key parts; the same on every engine and run."""
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
-    number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    return F.pmod(number, F.lit(100)).cast("int")
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
 
 
 def evaluate_once(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -95,6 +96,8 @@ def type_rows(raw: DataFrame, formats=TIME_FORMATS, tokens=NULL_TOKENS) -> DataF
     missing = [c for c in SENSORS if c not in df.columns]
     df = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
     df = strip_thousands(df)
+    if "extra" in df.columns:
+        df = df.withColumn("extra", F.transform_values("extra", lambda _, v: cells.without_thousands(v)))
     df = null_tokens(df, tokens=tokens)
     df = parse_timestamps(df, formats=formats)
     return cells.evaluate_once(cast_numeric(df), [TIME, *POSITIVE])
@@ -133,9 +136,17 @@ def observe_cleaning(raw: DataFrame, clean_fn) -> tuple[DataFrame, Observation,
     """Clean ``raw`` and count rows in and rows out inside the job that uses the result.
 
     The counts are ready, without a job of their own, once the returned
-    DataFrame has been written.
+    DataFrame has been written; see ``observed``.
     """
     rows_in, rows_out = Observation(), Observation()
     counted = raw.observe(rows_in, F.count(F.lit(1)).alias("rows_in"))
     result = clean_fn(counted).observe(rows_out, F.count(F.lit(1)).alias("rows_saved"))
     return result, rows_in, rows_out
+
+
+def observed(observation: Observation, name: str) -> int | None:
+    """The count, or None where Spark dropped the counted part of a plan (no rows came out)."""
+    try:
+        return observation.get.get(name)
+    except Py4JJavaError:
+        return None

@@ -9,12 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark import StorageLevel
 
-from batchlake.functions.cells import hash_percent, time_text
+from batchlake.functions.cells import HASH_RANGE, hash_number, time_text
 from batchlake.functions.schema import BATCH, MODEL_INPUTS, PREDICTION_COLUMNS, TARGET, TIME
 
 
 def label_split(
-    df: DataFrame, train_pct: int = 80, seed: int = 42, by: str = "row"
+    df: DataFrame, train_frac: float = 0.8, seed: int = 42, by: str = "row"
 ) -> DataFrame:
     """Append ``split`` ('train' or 'test') from a hash of the row's key.
 
@@ -23,7 +23,7 @@ def label_split(
     features of test rows are never training rows.
     """
     parts = {"row": [F.col(BATCH), time_text(F.col(TIME))], "batch": [F.col(BATCH)]}[by]
-    side = F.when(hash_percent(seed, *parts) < train_pct, "train").otherwise("test")
+    side = F.when(hash_number(seed, *parts) < int(train_frac * HASH_RANGE), "train").otherwise("test")
     return df.withColumn("split", side)
 
 
@@ -34,15 +34,15 @@ def split(
     if by == "random":
         train, test = df.randomSplit([train_frac, 1 - train_frac], seed)
         return train, test
-    labelled = label_split(df, round(train_frac * 100), seed, by)
+    labelled = label_split(df, train_frac, seed, by)
     return (
         labelled.filter("split = 'train'").drop("split"),
         labelled.filter("split = 'test'").drop("split"),
     )
 
 
-def split_sizes(df: DataFrame, train_pct: int = 80, seed: int = 42, by: str = "row") -> DataFrame:
-    return label_split(df, train_pct, seed, by).groupBy("split").agg(F.count("*").alias("rows"))
+def split_sizes(df: DataFrame, train_frac: float = 0.8, seed: int = 42, by: str = "row") -> DataFrame:
+    return label_split(df, train_frac, seed, by).groupBy("split").agg(F.count("*").alias("rows"))
 
 
 def assembler(cols=MODEL_INPUTS) -> VectorAssembler:

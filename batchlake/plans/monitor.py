@@ -116,21 +116,28 @@ def importance_series(importance: DataFrame) -> DataFrame:
 
 def monitor_snapshot(
     recent: DataFrame,
+    predictions: DataFrame | None = None,
     lo: float = VISCOSITY_RANGE[0],
     hi: float = VISCOSITY_RANGE[1],
     limit: float = ERROR_LIMIT,
 ) -> DataFrame:
-    """All cards in one row from one aggregate; no row without data."""
+    """All cards in one row; no row without data.
+
+    The cards look at ``recent``; RMSE and R² are the model's and come from all
+    ``predictions`` when these are given.
+    """
     shown = ["temperature_c", "ph_level", TARGET, "prediction"]
     row = recent.agg(
         F.count("*").alias("rows_shown"),
         F.countDistinct(BATCH).alias("n_batches"),
         F.round(F.avg("error"), 2).alias("avg_error"),
-        F.round(rmse_expr(), 6).alias("rmse"),
-        F.round(r2_expr(), 6).alias("r2"),
         F.max(TIME).alias("latest_time"),
         *_newest(*shown),
     ).filter("rows_shown > 0")
+    accuracy = (recent if predictions is None else predictions).agg(
+        F.round(rmse_expr(), 6).alias("rmse"), F.round(r2_expr(), 6).alias("r2")
+    )
+    row = row.join(F.broadcast(accuracy))  # one row each
     return row.select(
         "latest_time",
         F.round("temperature_c", 1).alias("temperature_c"),

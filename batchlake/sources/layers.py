@@ -11,14 +11,23 @@ from batchlake.functions.schema import BATCH
 
 
 def write_layer(
-    df: DataFrame, path: str, partition_cols: str | list[str] = BATCH, rebalance: bool = True
+    df: DataFrame,
+    path: str,
+    partition_cols: str | list[str] = BATCH,
+    rebalance: bool = True,
+    batches: list[str] | None = None,
 ) -> None:
     """Write Parquet by batch, replacing only the batches present in ``df``.
 
+    ``batches`` names all that ``df`` is about. Their old rows go first, so that a batch that
+    has none any more does not keep them; if the write then fails, repeat it.
+
     ``rebalance`` gathers each batch in few tasks first, so that a batch does
     not get one small file per task; batches beyond the advisory partition size
     are still spread over several tasks.
     """
+    if batches:
+        drop_batches(df.sparkSession, path, batches)
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in cols])
@@ -30,6 +39,18 @@ def write_layer(
     )
 
 
+def drop_batches(spark: SparkSession, path: str, batches: list[str]) -> None:
+    """Remove the folders of some batches, through the file system that the path names."""
+    jvm = spark._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for name in batches:
+        folder = jvm.org.apache.hadoop.fs.Path(root, f"{BATCH}={escape(name)}")
+        if files.exists(folder):
+            files.delete(folder, True)
+
+
 def read_layer(
     spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:

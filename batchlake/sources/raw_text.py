@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from batchlake.functions.cells import evaluate_once
-from batchlake.functions.schema import BATCH, REQUIRED_ROLES, ROLES, role_column
+from batchlake.functions.schema import BATCH, BOM_CHARS, REQUIRED_ROLES, ROLES, role_column
 from batchlake.operators.clean import derive_batch_id
 
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
@@ -26,8 +26,8 @@ BROADCAST_FILES = 50_000
 UTF16_LE_BOM = "FFFE"
 UTF16_BE_BOM = "FEFF"
 UTF8_BOM = "EFBBBF"
-BOM_CHARS = "[\ufeff\ufffe]"
 LINE_FEED = "\n"
+SEPARATORS = ("\t", ";", "|", ",")
 RETURN = "\r"
 
 _LISTING = {"recursiveFileLookup": "true", "pathGlobFilter": "*.[cC][sS][vV]"}
@@ -47,7 +47,7 @@ def relative_name(file_path: Column, root: str) -> Column:
     decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
     bare = F.concat(F.lit("/"), F.regexp_replace(decoded, r"^[A-Za-z][A-Za-z0-9+.-]*:/*|^/+", ""))
     below = plain_path(root) + "/"
-    inside = F.substring(bare, len(below) + 1, 1_000_000)
+    inside = F.substr(bare, F.lit(len(below) + 1))
     return F.when(bare.startswith(below), inside).otherwise(F.substring_index(bare, "/", -1))
 
 
@@ -63,24 +63,24 @@ def without_return(line: Column) -> Column:
 
 
 def separator_of(header: Column) -> Column:
-    """Tab, semicolon or comma: the one the header has most of."""
+    """Tab, semicolon, bar or comma: the one the header has most of."""
 
     def times(mark: str) -> Column:
         return F.length(header) - F.length(F.replace(header, F.lit(mark), F.lit("")))
 
-    tab, semicolon, comma = times("\t"), times(";"), times(",")
-    return (
-        F.when((tab > 0) & (tab >= semicolon) & (tab >= comma), "\t")
-        .when((semicolon > 0) & (semicolon >= comma), ";")
-        .otherwise(",")
-    )
+    most = F.greatest(*[times(mark) for mark in SEPARATORS])
+    choice = F.when(times(SEPARATORS[0]) == most, SEPARATORS[0])
+    for mark in SEPARATORS[1:]:
+        choice = choice.when(times(mark) == most, mark)
+    return F.when(most > 0, choice).otherwise(",")
 
 
 def fields_of(line: Column, separator: Column) -> Column:
     """Cells of a line; quoted cells may hold separators and doubled quotes."""
+    mark = F.when(separator == "|", "\\|").otherwise(separator)  # in a pattern
     quoted = F.regexp_extract_all(
         F.concat(separator, line),
-        F.concat(separator, F.lit(' *("(?:[^"]++|"")*+"|[^'), separator, F.lit("]*+)")),
+        F.concat(mark, F.lit(' *("(?:[^"]++|"")*+"|[^'), separator, F.lit("]*+)")),
         F.lit(1),
     )
     unquoted = F.transform(
@@ -90,7 +90,7 @@ def fields_of(line: Column, separator: Column) -> Column:
             F.replace(cell.substr(F.lit(2), F.length(cell) - 2), F.lit('""'), F.lit('"')),
         ).otherwise(cell),
     )
-    return F.when(line.contains('"'), unquoted).otherwise(F.split(line, separator))
+    return F.when(line.contains('"'), unquoted).otherwise(F.split(line, mark))
 
 
 def layout_of(header: Column, source: Column) -> Column:

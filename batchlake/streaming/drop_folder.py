@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from batchlake.functions.schema import BATCH, BRONZE_SCHEMA, SILVER_SCHEMA
+from batchlake.functions.schema import BATCH, BRONZE_SCHEMA, SILVER_SCHEMA, with_extra
 from batchlake.operators.clean import derive_batch_id
 from batchlake.plans.medallion import build_gold, build_silver
-from batchlake.sources.layers import read_layer, write_layer
+from batchlake.sources.layers import drop_batches, read_layer, write_layer
 from batchlake.sources.raw_text import read_raw_text, relative_name
 
 MAX_FILES_PER_TRIGGER = 1_000
@@ -44,9 +44,12 @@ def ingest_files(
 
     touched = F.col(BATCH).isin(batches)
     bronze = read_layer(spark, paths["bronze"], BRONZE_SCHEMA).filter(touched)
-    counts = build_silver(bronze, paths["silver"])
-    silver = read_layer(spark, paths["silver"], SILVER_SCHEMA).filter(touched)
-    build_gold(silver, paths["gold"])
+    counts = build_silver(bronze, paths["silver"], batches)
+    if counts["rows_saved"]:
+        silver = read_layer(spark, paths["silver"], with_extra(SILVER_SCHEMA)).filter(touched)
+        build_gold(silver, paths["gold"], batches)
+    else:
+        drop_batches(spark, paths["gold"], batches)
     return counts
 
 

@@ -23,7 +23,9 @@ def gold(spark, sf_dir, tmp_path_factory):
 def run(spark, gold, tmp_path_factory):
     base = tmp_path_factory.mktemp("model")
     model_path, predictions_path = str(base / "model"), str(base / "predictions")
-    model = fit_and_score(spark, gold, model_path, predictions_path, trees=8, depth=4)
+    model, report = fit_and_score(spark, gold, model_path, predictions_path, trees=8, depth=4)
+    row = report.first()
+    assert row.train_rows + row.test_rows > 0 and row.rmse > 0 and len(row.importances) == 13
     return model, model_path, predictions_path
 
 

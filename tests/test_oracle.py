@@ -5,11 +5,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from batchlake.catalog.queries import CATALOG
 from batchlake.functions.schema import GOLD_SCHEMA
 from tools.compare import rows_of
 
-SQL = oracle_sql()
+SQL = {name: query.sql for name, query in CATALOG.items() if query.sql}
 
 
 @pytest.fixture(scope="module")
@@ -26,9 +27,9 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(CATALOG))
 def test_query_equals_its_sql(spark, duck, sf_dir, name):
-    frame = queries()[name](spark, sf_dir)
+    frame = CATALOG[name].build(spark, sf_dir)
     got = frame.collect()
     assert got
     if name not in SQL:
