@@ -39,14 +39,22 @@ def write_layer(
     )
 
 
+def _file_system(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    root, files = _file_system(spark, path)
+    return files.exists(root)
+
+
 def drop_batches(spark: SparkSession, path: str, batches: list[str]) -> None:
     """Remove the folders of some batches, through the file system that the path names."""
-    jvm = spark._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    root, files = _file_system(spark, path)
     for name in batches:
-        folder = jvm.org.apache.hadoop.fs.Path(root, f"{BATCH}={escape(name)}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root, f"{BATCH}={escape(name)}")
         if files.exists(folder):
             files.delete(folder, True)
 

@@ -3,7 +3,8 @@
 The stream only discovers files: its checkpoint gives each file to one trigger.
 The rows are read by the batch reader inside ``foreachBatch``, kept in a Parquet
 layer by (batch, file), and the batches touched are rebuilt from that layer.
-A replayed trigger overwrites the same partitions with the same rows.
+A replayed trigger overwrites the same partitions with the same rows. A file that cannot
+be read goes to the ``rejected`` layer with the reason, and the others go on.
 
 Row windows need a whole batch, so features are recomputed per touched batch
 instead of being carried as stream state.
@@ -13,6 +14,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,10 +23,12 @@ from pyspark.sql.streaming import StreamingQuery
 from batchlake.functions.schema import BATCH, BRONZE_SCHEMA, SILVER_SCHEMA, with_extra
 from batchlake.operators.clean import derive_batch_id
 from batchlake.plans.medallion import build_gold, build_silver
-from batchlake.sources.layers import drop_batches, read_layer, write_layer
+from batchlake.sources.layers import drop_batches, exists, read_layer, write_layer
 from batchlake.sources.raw_text import read_raw_text, relative_name
 
 MAX_FILES_PER_TRIGGER = 1_000
+#: What is kept of a reason: its start names the file and the cause, the rest is a trace.
+REASON_CHARS = 2_000
 
 # Columns of Spark's binaryFile source.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
@@ -31,7 +36,31 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content b
 
 def layer_paths(out: str) -> dict[str, str]:
     base = out.rstrip("/")
-    return {name: f"{base}/{name}" for name in ("bronze", "silver", "gold")}
+    return {name: f"{base}/{name}" for name in ("bronze", "silver", "gold", "rejected")}
+
+
+def land(
+    spark: SparkSession, files: list[str], root: str, paths: dict[str, str], batch_by: str
+) -> None:
+    """Write the raw rows of the files; those that cannot be read are kept as rejected.
+
+    All files go in one job. Only if that fails are they halved until the bad ones, at most
+    as many as a trigger has files, stand alone.
+    """
+    try:
+        raw = read_raw_text(spark, files, root=root, batch_by=batch_by)
+        write_layer(raw, paths["bronze"], [BATCH, "source_file"])
+    except (Py4JJavaError, PySparkException) as error:
+        half = len(files) // 2
+        if half:
+            land(spark, files[:half], root, paths, batch_by)
+            land(spark, files[half:], root, paths, batch_by)
+            return
+        reason = str(error).strip()[:REASON_CHARS]
+        bad = spark.createDataFrame([(files[0], reason)], "path string, reason string")
+        name = relative_name(F.col("path"), root)
+        bad = bad.select(derive_batch_id(name, batch_by).alias(BATCH), name.alias("source_file"), "reason")
+        write_layer(bad, paths["rejected"], [BATCH, "source_file"])
 
 
 def ingest_files(
@@ -39,9 +68,10 @@ def ingest_files(
 ) -> dict[str, int]:
     """Add files to the raw layer and rebuild the batches they belong to."""
     paths = layer_paths(out)
-    raw = read_raw_text(spark, files, root=root, batch_by=batch_by)
-    write_layer(raw, paths["bronze"], [BATCH, "source_file"])
+    land(spark, files, root, paths, batch_by)
 
+    if not exists(spark, paths["bronze"]):  # nothing could be read so far
+        return {"rows_in": 0, "rows_saved": 0}
     touched = F.col(BATCH).isin(batches)
     bronze = read_layer(spark, paths["bronze"], BRONZE_SCHEMA).filter(touched)
     counts = build_silver(bronze, paths["silver"], batches)

@@ -249,3 +249,38 @@ def test_replayed_trigger_changes_nothing(spark, tmp_path):
     assert bronze.count() == bronze.select("line_no").distinct().count()
     assert set(ROLES) <= set(bronze.columns)
     assert bronze.filter(F.col("source_file") == "a.csv").count() == bronze.count()
+
+
+REJECTED = "batch_id string, source_file string, reason string"
+
+
+def test_a_bad_file_does_not_stop_the_others(spark, tmp_path):
+    drop = tmp_path / "drop"
+    put(drop / "bad.csv", "Foo,Bar\n1,2\n", "utf-8")
+    assert run_stream(spark, tmp_path) == [{"rows_in": 0, "rows_saved": 0}]
+    put(drop / "bad2.csv", "Foo,Bar\n1,2\n", "utf-8")
+    for name in ("one", "two"):
+        put(drop / f"{name}.csv", text_of([row(i) for i in range(22)], ","), "utf-8")
+    assert run_stream(spark, tmp_path) == [{"rows_in": 44, "rows_saved": 44}]
+    rejected = spark.read.schema(REJECTED).parquet(layer_paths(str(tmp_path / "lake"))["rejected"]).collect()
+    assert sorted(r["source_file"] for r in rejected) == ["bad.csv", "bad2.csv"]
+    assert all("no column for" in r["reason"] for r in rejected)
+
+
+def test_rows_that_are_all_rejected_count_as_zero_and_leave_nothing_behind(spark, tmp_path):
+    from batchlake.streaming.drop_folder import ingest_files
+
+    drop, lake = tmp_path / "drop", str(tmp_path / "lake")
+    call = (spark, [str(drop / "a.csv")], ["a"], str(drop), lake, "folder")
+    put(drop / "a.csv", text_of([row(i) for i in range(25)], ","), "utf-8")
+    assert ingest_files(*call)["rows_saved"] == 25
+    assert layer(spark, tmp_path, "gold", GOLD_SCHEMA).count() > 0
+    put(drop / "a.csv", text_of([row(i)[:1] + ["0"] * (len(HEADER) - 1) for i in range(7)], ","), "utf-8")
+    assert ingest_files(*call) == {"rows_in": 7, "rows_saved": 0}
+    assert layer(spark, tmp_path, "silver", SILVER_SCHEMA).count() == 0
+    assert layer(spark, tmp_path, "gold", GOLD_SCHEMA).count() == 0
+
+
+def test_a_bar_separates_too(spark, tmp_path):
+    put(tmp_path / "a.csv", text_of([row(0), row(1)], "|"), *LE)
+    assert clean(read_raw_text(spark, str(tmp_path))).count() == 2
