@@ -5,8 +5,9 @@ while batches are small, and the wrong one when a batch holds a third of the
 data. The helpers here count rows per batch first and choose:
 
 * no large batch: the plain window, one shuffle;
-* otherwise: small batches keep the plain window, and large ones are cut into
-  time slices of about ``slice_rows`` rows. Their windows run per (batch,
+* otherwise: small batches keep the plain window, and large ones are cut at
+  quantiles of time into slices of about ``slice_rows`` rows, however uneven a
+  batch is. Their windows run per (batch,
   slice). Rows close to a slice edge, whose frame reaches into a neighbour
   slice, are computed from the rows near the edges only (at most
   ``2 * (back + ahead)`` rows per slice), which is a tiny fraction of the batch.
@@ -27,6 +28,9 @@ from pyspark.sql import types as T
 from batchlake.functions.schema import BATCH, TIME
 
 SLICE_ROWS = 2_000_000
+#: Quantiles that slices are cut at, and the accuracy of their ranks.
+QUANTILES = 1024
+ACCURACY = 20_000
 BROADCAST_KEYS = 200_000
 
 WindowExpr = Callable[[WindowSpec], Column]
@@ -61,6 +65,12 @@ def second_number(df: DataFrame, order: str) -> Column:
     raise TypeError(f"{order} must be a timestamp, not {kind.simpleString()}")
 
 
+def micro_number(df: DataFrame, order: str) -> Column:
+    """Microseconds since the epoch, rising with ``order`` like ``second_number``."""
+    part = F.date_part(F.lit("SECONDS"), F.col(order))
+    return second_number(df, order) * 1_000_000 + F.round((part - F.floor(part)) * 1_000_000).cast("bigint")
+
+
 def profile_batches(
     df: DataFrame, batch: str = BATCH, order: str = TIME, slice_rows: int = SLICE_ROWS
 ) -> BatchProfile:
@@ -69,10 +79,7 @@ def profile_batches(
     ``df`` may be a cheaper table with at least as many rows per batch than
     the one the windows run on, e.g. the rows before cleaning.
     """
-    sizes = df.groupBy(F.col(batch).alias(BATCH)).agg(
-        F.count("*").alias("batch_rows"),
-        F.approx_count_distinct(second_number(df, order)).alias("busy_seconds"),
-    )
+    sizes = df.groupBy(F.col(batch).alias(BATCH)).agg(F.count("*").alias("batch_rows"))
     counts = sizes.agg(
         F.count("*").alias("n_batches"),
         F.count_if(F.col("batch_rows") > slice_rows).alias("n_large"),
@@ -121,12 +128,12 @@ def over_batches(
     if not profile.has_large:
         return plain(df)
 
-    large = _large_batches(df, per_batch, profile, batch)
+    large = _large_batches(df, per_batch, profile, batch, order)
     small_rows = df.join(large.select(batch), on=batch, how="left_anti").select(*df.columns)
     large_rows = df.join(large, on=batch).select(
         *[df[c] for c in df.columns],
         *per_batch,
-        F.floor(second_number(df, order) / F.col("_width")).cast("bigint").alias("_slice"),
+        F.size(F.filter("_cuts", lambda cut: cut < micro_number(df, order))).alias("_slice"),
     )
 
     sliced = Window.partitionBy(batch, "_slice").orderBy(order)
@@ -154,23 +161,28 @@ def _all_rows(spec: WindowSpec) -> WindowSpec:
 
 
 def _large_batches(
-    df: DataFrame, per_batch: Mapping[str, Column], profile: BatchProfile, batch: str
+    df: DataFrame, per_batch: Mapping[str, Column], profile: BatchProfile, batch: str, order: str
 ) -> DataFrame:
-    """Batches above ``slice_rows`` with their slice width in seconds and aggregates.
+    """Batches above ``slice_rows`` with the times they are cut at and their aggregates.
 
     At most (all rows / slice_rows) rows, counted by the profile, so the
     broadcast has a known bound; beyond ``BROADCAST_KEYS`` the join is Spark's
     choice.
     """
-    # from the rows per second that has any row at all, so that gaps and stray
-    # timestamps do not distort the width
-    seconds = F.ceil(
-        F.lit(profile.slice_rows) * F.col("busy_seconds") / F.col("batch_rows")
-    ).cast("bigint")
-    large = profile.sizes.filter(F.col("batch_rows") > profile.slice_rows).select(
-        F.col(BATCH).alias(batch), F.greatest(seconds, F.lit(1)).alias("_width")
+    sizes = profile.sizes.filter(F.col("batch_rows") > profile.slice_rows).select(
+        F.col(BATCH).alias(batch), F.ceil(F.col("batch_rows") / profile.slice_rows).alias("_slices")
+    )
+    if profile.n_large <= BROADCAST_KEYS:
+        sizes = F.broadcast(sizes)
+    shares = F.array(*[F.lit(k / QUANTILES) for k in range(1, QUANTILES)])
+    values = df.join(sizes, on=batch).groupBy(batch, "_slices").agg(
+        F.percentile_approx(micro_number(df, order), shares, ACCURACY).alias("_quantiles"),
+        *[agg.alias(n) for n, agg in per_batch.items()],
+    )
+    step = F.greatest(F.floor(F.lit(QUANTILES) / F.col("_slices")), F.lit(1))
+    large = values.select(
+        batch,
+        F.array_distinct(F.filter("_quantiles", lambda _, i: (i + 1) % step == 0)).alias("_cuts"),
+        *per_batch,
     )
-    if per_batch:
-        values = df.groupBy(batch).agg(*[agg.alias(n) for n, agg in per_batch.items()])
-        large = attach(large, values, batch)
     return F.broadcast(large) if profile.n_large <= BROADCAST_KEYS else large

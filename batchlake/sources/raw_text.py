@@ -5,7 +5,7 @@ exactly. Bigger files go through the line reader, which splits them over many
 tasks; their header is looked up per file. Which files are big is known from the
 listing alone.
 
-A line break inside a quoted field is not supported.
+A line break inside a quoted field raises, naming the file.
 """
 
 from __future__ import annotations
@@ -27,6 +27,10 @@ UTF16_LE_BOM = "FFFE"
 UTF16_BE_BOM = "FEFF"
 UTF8_BOM = "EFBBBF"
 LINE_FEED = "\n"
+#: A record without text, as hex: white space of one or two bytes behind a byte-order mark.
+BLANK_RECORD = "^(FFFE|FEFF|EFBBBF)?(00|0D|20|09)*$"
+#: A cell that begins with a quote and does not end in this line.
+OPEN_QUOTE = r'(?:^|[\t;|,]) *"(?:[^"]|"")*+$'
 SEPARATORS = ("\t", ";", "|", ",")
 RETURN = "\r"
 
@@ -132,7 +136,13 @@ def layout_of(header: Column, source: Column) -> Column:
 
 
 def role_cells(lines: DataFrame) -> DataFrame:
-    """Lines with their file's layout to one string column per role."""
+    """Lines with their file's layout to one string column per role.
+
+    A quoted cell that a line leaves open would make two wrong rows; it raises instead.
+    """
+    broken = F.raise_error(F.concat(F.lit("a line break inside quotes in "), F.col("source_file")))
+    whole = F.when(F.col("line").rlike(OPEN_QUOTE), broken.cast("string")).otherwise(F.col("line"))
+    lines = evaluate_once(lines.withColumn("line", whole), ["line"])
     split_up = lines.withColumn("_cells", fields_of(F.col("line"), F.col("layout.separator")))
 
     def cell(at: Column) -> Column:
@@ -242,26 +252,34 @@ def _split_files(text: DataFrame, root: str, n_files: int) -> DataFrame:
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").cast("binary").alias("bytes"),
     )
-    start = records.filter("block_start = 0").groupBy("source_file").agg(
-        F.min_by("bytes", "line_no").alias("bytes"),
-        F.min("line_no").alias("header_at"),
+    written = ~F.hex("bytes").rlike(BLANK_RECORD)
+    start = (
+        records.filter("block_start = 0")
+        .groupBy("source_file")
+        .agg(
+            F.min_by(F.substring("bytes", 1, 3), "line_no").alias("mark"),
+            F.min("line_no").alias("first_at"),
+            F.min(F.when(written, F.struct("line_no", "bytes"))).alias("head"),
+        )
+        .filter("head IS NOT NULL")
+        .select("source_file", "mark", "first_at", F.col("head.line_no").alias("header_at"), F.col("head.bytes").alias("bytes"))
     )
-    bom = F.hex(F.substring("bytes", 1, 2))
+    bom = F.hex(F.substring("mark", 1, 2))
     encoding = F.when(bom == UTF16_LE_BOM, "UTF-16LE").when(bom == UTF16_BE_BOM, "UTF-16BE")
     source = F.col("source_file")
     heads = (
         start.withColumn("encoding", F.coalesce(encoding, F.lit("UTF-8")))
-        .withColumn("header", _record_text(F.col("encoding"), F.lit(True), source))
+        .withColumn("header", _record_text(F.col("encoding"), F.col("header_at") == F.col("first_at"), source))
         .select(
             "source_file", "header_at", "encoding", layout_of(F.col("header"), source).alias("layout")
         )
     )
     if n_files <= BROADCAST_FILES:
         heads = F.broadcast(heads)
-    is_header = (F.col("block_start") == 0) & (F.col("line_no") == F.col("header_at"))
+    not_data = (F.col("block_start") == 0) & (F.col("line_no") <= F.col("header_at"))
     return (
         records.join(heads, "source_file")
-        .filter(~is_header)
+        .filter(~not_data)
         .select(
             "source_file",
             "block_start",

@@ -55,8 +55,6 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "12g",
             "spark.ui.showConsoleProgress": "false",
-            # small test data: let the many tiny batches be written by all cores
-            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

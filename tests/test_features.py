@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from batchlake.functions.schema import GOLD_SCHEMA, SILVER_SCHEMA, TARGET
 from batchlake.operators import features as ft
-from batchlake.operators.series import attach, over_batches, profile_batches
+from batchlake.operators.series import _large_batches, attach, micro_number, over_batches, profile_batches
 
 START = dt.datetime(2024, 1, 1)
 
@@ -126,6 +126,19 @@ def test_a_third_of_all_rows_in_one_batch_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+def test_slices_of_an_uneven_batch_are_bounded(spark):
+    """Half of the rows within a few minutes of a batch of many days."""
+    day = series("burst", 400, gap=lambda i: 86_400)
+    burst = series("burst", 400, gap=lambda i: 1)
+    shifted = [(row[0] + dt.timedelta(days=30, seconds=30), *row[1:]) for row in burst]
+    df = silver(spark, day + shifted)
+    profile = profile_batches(df, slice_rows=50)
+    cuts = _large_batches(df, {}, profile, "batch_id", "timestamp")
+    slice_ = F.size(F.filter("_cuts", lambda cut: cut < micro_number(df, "timestamp")))
+    sizes = df.join(cuts, "batch_id").groupBy(slice_.alias("s")).count().collect()
+    assert len(sizes) >= 16 and max(r["count"] for r in sizes) <= 100
+
+
 def test_eleven_rows_give_one_target(spark):
     df = ft.lead_target(silver(spark, series("b", 11)))
     assert df.filter(F.col(TARGET).isNotNull()).count() == 1

@@ -75,7 +75,6 @@ def test_mixed_encodings_separators_and_column_orders(spark, mixed):
 
 
 def test_split_reader_gives_the_same_rows(spark, mixed):
-    (mixed / "blank_first.csv").write_bytes(text_of([row(15)], ",").encode())
     whole = read_raw_text(spark, str(mixed))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "101")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
@@ -117,6 +116,14 @@ def test_split_reader_refuses_characters_it_would_cut(spark, tmp_path, coding):
         read_raw_text(spark, str(tmp_path), whole_file_bytes=0).collect()
 
 
+def test_a_line_break_in_quotes_raises_however_it_is_read(spark, tmp_path):
+    text = 'Time,Batch Time,R1_PH_R02,Note\n2024-01-05 08:00:00,1,7,"two\nlines"\n2024-01-05 08:01:00,2,7,5" pipe\n'
+    put(tmp_path / "a.csv", text, "utf-8")
+    for size in (0, 1 << 20):
+        with pytest.raises(Exception, match="line break inside quotes in a.csv"):
+            read_raw_text(spark, str(tmp_path), whole_file_bytes=size).collect()
+
+
 def test_quotes_and_short_lines(spark, tmp_path):
     text = 'Time,Batch Time,R1_PH_R02,Note\n2024-01-05 08:00:00,1,"7,5","say ""hi"", ok"\n2024-01-05 08:01:00,2\n'
     put(tmp_path / "a.csv", text, "utf-8")
