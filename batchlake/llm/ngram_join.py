@@ -3,20 +3,23 @@
 The n-grams of all documents have one global order, that of their 64-bit hashes. The
 order is cut into fragments, so that each document's set falls into segments.
 
-Candidates: sets that are similar enough differ in at most d n-grams, so with more than d
-fragments they agree in a whole segment. Documents of a size class are cut into d + 1
+Candidates: sets that are similar enough differ in at most d n-grams, so of more than d
+fragments they agree in some whole segments. Documents of a size class are cut into d + 1
 fragments (and some to spare for empty ones) and meet where a segment is equal. A
 segment holds several n-grams, so a common line or passage alone brings nobody
-together. Sets with too many empty segments also meet on their first n-grams (prefix
-filter), so no pair is lost.
+together. A pair has to agree in T segments, a number that follows from the sizes, so each
+document leaves out the T - 1 that most others share. Sets with too many empty
+segments also meet on their first n-grams (prefix filter), so no pair is lost.
 
 Counting: the sets of candidates are cut into a few coarse fragments, the overlap of each
 pair is counted in each of them apart and summed for the pair.
 
 Groups: within a segment's documents, only pairs with the most central one are counted
-first. Pairs already in one component need no count; what still crosses components is
-counted in further rounds, the last of which takes all of it. So copies by the thousand
-cost a star, not all pairs, and no link between components is missed.
+first. Pairs already in one component need no count. For those that still meet across
+components, the difference of each to its centre decides: two sets that link must share so
+many n-grams of their differences (they differ from each other by what they do not
+share), so they meet again only on a prefix of these. Copies by the thousand cost a
+star and short prefixes, not all pairs, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -35,12 +38,14 @@ from batchlake.llm.components import components
 from batchlake.llm.words import WordHasher, byte_class, lower_ascii, mix
 
 #: Coarse fragments in which overlaps are counted.
-FRAGMENTS = 8
+FRAGMENTS = 2
 #: A segment seen so often by one task is hot: its further rows are dealt over SALTS parts.
 HOT_ROWS = 64
 SALTS = 32
-#: Rounds of stars before all pairs that still cross components are counted.
-STAR_ROUNDS = 2
+#: Classes of differences, for each difference that a link allows.
+CLASSES = 6
+#: Keys of texts that may be broadcast (8 bytes each).
+BROADCAST_TEXTS = 200_000
 _SEEN_BITS = 20
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -82,10 +87,9 @@ class Segments:
     """Keys of the segments of a set, for Jaccard of at least ``percent`` / 100."""
 
     def __init__(self, percent: int):
-        self.percent, ratio = percent, (100 / percent) ** 2
+        self.percent, self.ratio = percent, (100 / percent) ** 2
         self.first = [1]
         self.cuts: list[tuple[int, int]] = []
-        self.ratio = ratio
 
     def _class(self, size: int) -> int:
         while self.first[-1] <= size:
@@ -100,28 +104,35 @@ class Segments:
             self.cuts.append((differ, spare))
         return int(np.searchsorted(self.first, size, "right")) - 1
 
-    def keys(self, tokens: np.ndarray) -> np.ndarray:
-        """A pair meets in the class of its larger set; a set also goes to the next class up
-        if a partner can be there. Classes whose sets must be equal have no keys."""
+    def keys(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of segments, and for each its family (fragments << 32 | segments to leave out).
+
+        A pair meets in the class of its larger set; a set also goes to the next class up
+        if a partner can be there. Classes whose sets must be equal have no keys.
+        """
         size = len(tokens)
         if not size:
-            return tokens
+            return tokens, tokens.view(np.int64)
         own, up = self._class(size), self._class(size * 100 // self.percent)
-        return np.concatenate([self._keys_in(tokens, c) for c in range(own, up + 1)])
+        found = [self._keys_in(tokens, c) for c in range(own, up + 1)]
+        return np.concatenate([k for k, _ in found]), np.concatenate([f for _, f in found])
 
-    def _keys_in(self, tokens: np.ndarray, c: int) -> np.ndarray:
+    def _keys_in(self, tokens: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
         differ, spare = self.cuts[c]
         if not differ:
-            return tokens[:0]
-        parts = differ + 1 + spare
+            return tokens[:0], np.empty(0, np.int64)
+        size, parts = len(tokens), differ + 1 + spare
         part = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         begins = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
-        sums = np.add.reduceat(mix(tokens), begins)
-        keys = mix(sums + mix(part[begins] + np.uint64(parts << 32)))
+        keys = mix(np.add.reduceat(mix(tokens), begins) + mix(part[begins] + np.uint64(parts << 32)))
+        largest = min(self.first[c + 1] - 1, size * 100 // self.percent)
+        agree = len(begins) - (size + largest) * (100 - self.percent) // (100 + self.percent)
+        family = np.full(len(keys), parts << 32 | max(agree - 1, 0))
         if parts - len(begins) > spare:
-            prefix = tokens[: len(tokens) - math.ceil(len(tokens) * self.percent / 100) + 1]
+            prefix = tokens[: size - math.ceil(size * self.percent / 100) + 1]
             keys = np.concatenate((keys, mix(prefix + mix(np.array([parts], np.uint64)))))
-        return keys
+            family = np.concatenate((family, np.full(len(prefix), (parts << 32) + (1 << 60))))
+        return keys, family
 
 
 class Recent:
@@ -140,7 +151,7 @@ class Recent:
 
 
 def _indexed(docs: DataFrame, n: int, percent: int, hot_rows: int) -> DataFrame:
-    """One row per document: doc_id, text_key, size, key, segments, hot segments.
+    """One row per document: doc_id, text_key, size, key, segments, families (hot ones negative).
 
     A worker gives the segments of a set once as long as it remembers the set.
     """
@@ -150,87 +161,144 @@ def _indexed(docs: DataFrame, n: int, percent: int, hot_rows: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, segments, sets, often = Shingler(n), Segments(percent), Recent(16), Recent()
         for batch in batches:
-            sizes, keys, plain, hot = [], [], [], []
+            sizes, keys, own, families = [], [], [], []
             for tokens in shingler([v.as_py() for v in batch.column(2)]):
                 key = set_key(tokens)
                 sizes.append(len(tokens))
                 keys.append(key)
-                own = tokens[:0]
-                if len(tokens) and not sets.count(np.array([key]).view(np.uint64))[0]:
-                    own = segments.keys(tokens)
-                many = often.count(own) >= hot_rows
-                plain.append(own[~many].view(np.int64))
-                hot.append(own[many].view(np.int64))
+                known = not len(tokens) or sets.count(np.array([key]).view(np.uint64))[0]
+                made, family = segments.keys(tokens[:0] if known else tokens)
+                own.append(made.view(np.int64))
+                families.append(np.where(often.count(made) >= hot_rows, -family, family))
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(plain, longs), pa.array(hot, longs)],
-                names=["doc_id", "text_key", "size", "key", "segments", "hot"],
+                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(own, longs), pa.array(families, longs)],
+                names=["doc_id", "text_key", "size", "key", "segments", "families"],
             )
 
     kind = taken.schema["doc_id"].dataType.simpleString()
     return landed(
-        taken.mapInArrow(work, f"doc_id {kind}, text_key long, size long, key long, segments array<long>, hot array<long>"), "ngram-index"
+        taken.mapInArrow(work, f"doc_id {kind}, text_key long, size long, key long, segments array<long>, families array<long>"), "ngram-index"
+    )
+
+
+def difference_keys(tokens: np.ndarray, centre: np.ndarray, classes: list[int], limits: list[int], width: int) -> np.ndarray:
+    """Keys on which a set meets partners, in some classes of difference, that share its centre.
+
+    Let x and y differ from the centre by dx and dy n-grams, and link only if they differ by at
+    most the class's limit from each other. As they differ by dx + dy less twice what their
+    differences share, they share at least (dx + dy - most) / 2 of these. So for each class
+    of dy, a prefix of x's difference is enough, in any order that all sets of a centre
+    have: n-grams that the centre lacks first. Where nothing need be shared, they meet on 0.
+    """
+    order = np.concatenate((np.setdiff1d(tokens, centre, True), np.setdiff1d(centre, tokens, True)))
+    own, found = len(order), [order[:0]]
+    for other, most in zip(classes, limits):
+        low, high = other * width, other * width + width - 1
+        need = -((most - own - low) // 2)
+        if need <= min(own, high):
+            grams = np.zeros(1, np.uint64) if need <= 0 else order[: own - need + 1]
+            pair = np.uint64((min(own // width, other) << 32) + max(own // width, other))
+            found.append(mix(grams * _STEP + pair))
+    return np.concatenate(found)
+
+
+def _meetings(spokes: DataFrame, fragments: DataFrame) -> DataFrame:
+    """(meeting, b, size_b, root_b, outside): where the sets of a centre meet each other."""
+    wanted = spokes.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    # the fragments of one set, not of a group of documents, come together here
+    sets = fragments.join(wanted, "key", "left_semi").groupBy("key").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
+    both = spokes.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("of_a")), "a").join(
+        sets.select(F.col("key").alias("b"), F.col("tokens").alias("of_b")), "b"
+    )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centres, classes, limits, width = (batch.column(i).to_pylist() for i in (0, 5, 6, 7))
+            made = []
+            for k in range(batch.num_rows):
+                own, centre = (np.sort(batch.column(i)[k].values.to_numpy(zero_copy_only=False).view(np.uint64)) for i in (9, 8))
+                keys = difference_keys(own, centre, classes[k], limits[k], width[k])
+                made.append(mix(keys + np.array([centres[k]]).view(np.uint64)).view(np.int64))
+            which = np.repeat(np.arange(len(made)), [len(m) for m in made])
+            columns = [batch.column(i).take(pa.array(which)) for i in (1, 2, 3, 4)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)) if made else pa.array([], pa.int64()), *columns], names=["meeting", "b", "size_b", "root_b", "outside"])
+
+    return both.select("a", "b", "size_b", "root_b", "outside", "classes", "limits", "width", "of_a", "of_b").mapInArrow(
+        work, "meeting long, b long, size_b long, root_b long, outside boolean"
     )
 
 
 def _met(index: DataFrame) -> DataFrame:
-    """(segment, key, others): the rows of segments that several sets share.
+    """(segment, key, size, weight): sets by the segments that may bring them to a partner.
 
-    One shuffle of narrow rows; hot segments are dealt over several parts.
+    One shuffle of narrow rows keeps the segments that several sets have; hot ones are dealt
+    over several parts. The others are few. A set's most shared segments are left out, as
+    many as its family says; the order is the same for all sets.
     """
-    plain = index.select(F.explode("segments").alias("segment"), F.lit(0).alias("salt"), "key")
-    hot = index.select(F.explode("hot").alias("segment"), (F.pmod("key", F.lit(SALTS)) + 1).cast("int").alias("salt"), "key")
+    each = index.select("key", F.explode(F.arrays_zip("segments", "families")).alias("x")).select(
+        F.col("x.segments").alias("segment"),
+        F.when(F.col("x.families") < 0, F.pmod("key", F.lit(SALTS)) + 1).otherwise(0).cast("int").alias("salt"),
+        "key",
+        F.abs("x.families").alias("family"),
+    )
     w = W.partitionBy("segment", "salt")
-    counted = plain.unionByName(hot).select(
-        "segment", "salt", "key", F.min("key").over(w).alias("low"), F.max("key").over(w).alias("high"), F.count(F.lit(1)).over(w).alias("others")
+    several = each.select("*", F.min("key").over(w).alias("low"), F.max("key").over(w).alias("high"))
+    shared = landed(several.filter("salt > 0 or low < high").select("segment", "key", "family"), "ngram-shared")
+    often = shared.groupBy("segment").agg(F.count(F.lit(1)).alias("often"))
+    # weight says how central a set is: it counts the segments left out too
+    ranked = shared.join(often, "segment").select(
+        "*",
+        F.sum("often").over(W.partitionBy("key")).alias("weight"),
+        F.dense_rank().over(W.partitionBy("key", "family").orderBy(F.desc("often"), "segment")).alias("rank"),
     )
-    return landed(counted.filter("salt > 0 or low < high").select("segment", "key", "others"), "ngram-met")
+    sizes = index.filter("size > 0").groupBy("key").agg(F.max("size").alias("size"))
+    kept = ranked.filter(F.col("rank") > F.col("family").bitwiseAND((1 << 32) - 1)).select("segment", "key", "weight").join(sizes, "key")
+    return landed(kept, "ngram-met")
 
 
 def _fragments(docs: DataFrame, index: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(key, fragment, size, tokens) of the wanted sets, made again from their texts."""
-    texts = index.select("key", "text_key").join(wanted, "key", "left_semi").groupBy("key").agg(F.min("text_key").alias("text_key"))
-    taken = docs.select(F.xxhash64("text").alias("text_key"), text_bytes().alias("text")).join(texts.select("text_key"), "text_key", "left_semi")
+    """(key, fragment, tokens) of the wanted sets, made again from one text of each.
+
+    The list of texts is broadcast if it was counted to be short; else texts are dealt
+    by their key. Equal texts are reduced to one ahead of the shuffle.
+    """
+    texts = landed(
+        index.select("key", "text_key").join(wanted, "key", "left_semi").groupBy("key").agg(F.min("text_key").alias("text_key")).select("text_key"),
+        "ngram-texts",
+    )
+    if texts.count() <= BROADCAST_TEXTS:
+        texts = F.broadcast(texts)
+    own = docs.select(F.xxhash64("text").alias("text_key"), "text").join(texts, "text_key", "left_semi")
+    taken = own.groupBy("text_key").agg(F.first("text").alias("text")).select("text_key", text_bytes().alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, sets = Shingler(n), Recent(16)
+        shingler = Shingler(n)
         for batch in batches:
-            out: dict[str, list] = {"key": [], "fragment": [], "size": [], "tokens": []}
+            out: dict[str, list] = {"key": [], "fragment": [], "tokens": []}
             for tokens in shingler([v.as_py() for v in batch.column(1)]):
                 key = set_key(tokens)
-                if sets.count(np.array([key]).view(np.uint64))[0]:
-                    continue
                 cuts = np.searchsorted(tokens, (np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(64 - FRAGMENTS.bit_length() + 1)))
                 for fragment, part in enumerate(np.split(tokens.view(np.int64), cuts)):
                     if len(part):
-                        for name, value in zip(out, (key, fragment, len(tokens), part)):
+                        for name, value in zip(out, (key, fragment, part)):
                             out[name].append(value)
-            kinds = pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64())
+            kinds = pa.int64(), pa.int32(), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
-    made = taken.mapInArrow(work, "key long, fragment int, size long, tokens array<long>")
-    # copies of a text in other tasks give the same rows again
-    return landed(made.groupBy("key", "fragment").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens")), "ngram-fragments")
+    return landed(taken.mapInArrow(work, "key long, fragment int, tokens array<long>"), "ngram-fragments")
 
 
-def _links(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: overlaps counted for each fragment and summed."""
-    left = fragments.select(F.col("key").alias("a"), "fragment", F.col("size").alias("size_a"), F.col("tokens").alias("of_a"))
-    right = fragments.select(F.col("key").alias("b"), "fragment", F.col("size").alias("size_b"), F.col("tokens").alias("of_b"))
-    fits = (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+def _counted(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+    """``pairs`` with ``shared``: overlaps counted for each fragment and summed."""
+    left = fragments.select(F.col("key").alias("a"), "fragment", F.col("tokens").alias("of_a"))
+    right = fragments.select(F.col("key").alias("b"), "fragment", F.col("tokens").alias("of_b"))
     partial = (
         pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
-        .filter(fits)
-        .select("a", "b", "size_a", "size_b", F.size(F.array_intersect("of_a", "of_b")).cast("long").alias("shared"))
+        .join(right, ["b", "fragment"], "left")
+        .select("a", "b", "size_a", "size_b", F.coalesce(F.size(F.array_intersect("of_a", "of_b")), F.lit(0)).cast("long").alias("shared"))
     )
-    summed = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("shared").alias("shared"))
-    union = F.col("size_a") + F.col("size_b") - F.col("shared")
-    return summed.filter(F.col("shared") * 100 >= union * percent).select("a", "b")
-
-
-def _sets_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    return partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("shared").alias("shared"))
 
 
 def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -242,51 +310,147 @@ def similar_documents(docs: DataFrame, n: int = 5, percent: int = 80, hot_rows:
     told apart by 64-bit keys: for a billion documents the odds that any two sets share one
     by chance are about one in forty. Other columns are ignored.
     """
-    index = _indexed(docs, n, percent, hot_rows)
-    met = _met(index)
-    central = met.groupBy("key").agg(F.sum("others").alias("weight"))
-    weighed = met.select("segment", "key").join(central, "key")
-    links, tested, label = None, None, None
-    fragments = None
-    for round_ in range(STAR_ROUNDS + 1):
-        if label is None:
-            open_ = weighed.withColumn("root", F.col("key"))
-        else:
-            labelled = weighed.join(label, weighed.key == label.node, "left").select(
-                "segment", "key", "weight", F.coalesce("root", "key").alias("root")
-            )
-            split = labelled.groupBy("segment").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
-            open_ = landed(labelled.join(split.select("segment"), "segment", "left_semi"), "ngram-open")
-            if open_.isEmpty():
-                break
-        if round_ < STAR_ROUNDS:
-            chosen = open_.join(tested.select(F.col("a").alias("key")).distinct(), "key", "left_anti") if tested is not None else open_
-            hub = chosen.groupBy("segment").agg(F.max(F.struct("weight", "key", "root")).alias("hub"))
-            pairs = open_.join(hub, "segment").filter("root <> hub.root").select(F.col("hub.key").alias("a"), F.col("key").alias("b"))
-        else:
-            other = open_.select("segment", F.col("key").alias("b"), F.col("root").alias("root_b"))
-            pairs = open_.join(other, "segment").filter("key < b and root <> root_b").select(F.col("key").alias("a"), "b")
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = landed(pairs, "ngram-pairs")
-        new = _sets_of(pairs) if fragments is None else _sets_of(pairs).join(fragments.select("key"), "key", "left_anti")
-        more = _fragments(docs, index, new, n)
-        fragments = more if fragments is None else fragments.unionByName(more)
-        found = landed(_links(pairs, fragments, percent), "ngram-links")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        label = landed(components(links), "ngram-labels")
-    return _labelled(index, label)
-
-
-def _labelled(index: DataFrame, label: DataFrame) -> DataFrame:
+    index, named = _grouped(docs, n, percent, hot_rows)
     full = index.filter("size > 0").select("doc_id", "size", "key")
     empty = index.filter("size = 0").select("doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    named = full.groupBy("key").agg(F.min("doc_id").alias("least")).join(label, F.col("key") == F.col("node"), "left")
-    named = named.select("key", "least", F.coalesce("root", "key").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = named.join(least, "root").select("key", "component_id")
     return (
-        full.join(ids, "key").select("doc_id", F.col("size").alias("n_shingles"), "component_id").unionByName(empty)
+        full.join(named, "key").select("doc_id", F.col("size").alias("n_shingles"), "component_id").unionByName(empty)
     )
+
+
+def representatives(docs: DataFrame, n: int = 5, percent: int = 80, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows, unchanged, of one document of each group: the one with the smallest doc_id.
+
+    Of rows that share this id one stays; a row without an id stands for its group only if
+    no other can. Rows without words are in no group and all stay. What goes is a list of
+    (id, text), broadcast if it was counted to be short, else joined in a shuffle.
+    """
+    index, named = _grouped(docs, n, percent, hot_rows)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
+    rows = index.filter("size > 0").join(named.select("key", "root"), "key")
+    rows = rows.groupBy("root", name.alias("name"), "text_key").agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    heads = rows.groupBy("root").agg(F.min(first).alias("head"))
+    is_head = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key").eqNullSafe(F.col("head"))
+    judged = rows.join(heads, "root").select("name", "text_key", (~is_head).alias("goes"), "copies").filter("goes or copies > 1")
+    judged = landed(judged, "ngram-judged")
+    if judged.count() <= BROADCAST_TEXTS:
+        judged = F.broadcast(judged)
+    own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), name.alias("name"), F.xxhash64("text").alias("text_key"))
+    joined = own.join(judged, ["name", "text_key"], "left").filter("goes is null or not goes")
+    repeated = joined.filter("copies > 1").dropDuplicates(["name", "text_key"]).select("row.*")
+    return joined.filter("copies is null").select("row.*").unionByName(repeated)
+
+
+def _grouped(docs: DataFrame, n: int, percent: int, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The index, and (key, root, component_id) of every set in it."""
+    index = _indexed(docs, n, percent, hot_rows)
+    met = _met(index)
+    join = _Join(docs, index, n, percent)
+    spokes = join.count(join.star(join.crossing(met)))
+    left = join.crossing(met)
+    if not left.isEmpty():
+        join.count(join.apart(left, spokes))
+    sets = index.filter("size > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
+    named = sets.join(join.label, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return index, named.join(least, "root").select("key", "root", "component_id")
+
+
+class _Join:
+    """Pairs counted so far, the links among them and the components they make."""
+
+    def __init__(self, docs: DataFrame, index: DataFrame, n: int, percent: int):
+        self.docs, self.index, self.n, self.percent = docs, index, n, percent
+        spark = docs.sparkSession
+        self.tested = self.links = spark.createDataFrame([], "a long, b long")
+        self.label = spark.createDataFrame([], "node long, root long")
+        self.fragments = spark.createDataFrame([], "key long, fragment int, tokens array<long>")
+
+    def crossing(self, met: DataFrame) -> DataFrame:
+        """The rows of segments in which two components meet, with the component."""
+        rows = met.join(self.label, met.key == self.label.node, "left").select(
+            "segment", "key", "size", "weight", F.coalesce("root", "key").alias("root")
+        )
+        split = rows.groupBy("segment").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
+        return landed(rows.join(split.select("segment"), "segment", "left_semi"), "ngram-crossing")
+
+    def star(self, rows: DataFrame) -> DataFrame:
+        """Each segment's sets paired with the most central one."""
+        hub = rows.groupBy("segment").agg(F.max(F.struct("weight", "key", "size", "root")).alias("hub"))
+        return rows.join(hub, "segment").filter("key <> hub.key").select(
+            F.col("hub.key").alias("a"),
+            F.col("key").alias("b"),
+            F.col("hub.size").alias("size_a"),
+            F.col("size").alias("size_b"),
+            F.col("hub.root").alias("root_a"),
+            F.col("root").alias("root_b"),
+        )
+
+    def apart(self, rows: DataFrame, counted: DataFrame) -> DataFrame:
+        """Pairs across components whose differences to the centre they share can make a link.
+
+        One of a pair is always outside the centre's component, so the sets inside it, which
+        can be most of a large group, are never paired with each other. Sets whose centre
+        has no partner for them in any class of difference drop out.
+        """
+        p, q = 100 - self.percent, 100 + self.percent
+        spokes = (
+            self.star(rows).distinct().join(counted.select("a", "b", "shared"), ["a", "b"])
+            .withColumn("outside", F.col("root_a") != F.col("root_b"))
+            .withColumn("differ", F.col("size_a") + F.col("size_b") - 2 * F.col("shared"))
+            .withColumn("width", F.greatest(F.floor(F.floor(2 * F.col("size_a") * p / q) / CLASSES), F.lit(1)).cast("long"))
+            .withColumn("class", F.floor(F.col("differ") / F.col("width")).cast("long"))
+        )
+        spokes = landed(spokes, "ngram-spokes")
+        # classes are a bounded number for each centre, however many sets it has
+        there = spokes.groupBy("a", "class").agg(
+            F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"), F.max("size_b").alias("largest")
+        )
+        there = there.groupBy("a").agg(F.collect_list(F.struct("class", "low", "high", "out", "largest")).alias("there"))
+
+        def limit(c):
+            """How much a set may differ from any of the class to link with it."""
+            return F.floor((F.col("size_b") + c.largest) * p / q).cast("long")
+
+        def partner(c):
+            other = (c.low != F.col("root_b")) | (c.high != F.col("root_b"))
+            near = (c["class"] * F.col("width") <= F.col("differ") + limit(c)) & ((c["class"] + 1) * F.col("width") > F.col("differ") - limit(c))
+            return other & (F.col("outside") | c.out) & near
+
+        able = (
+            spokes.join(there, "a")
+            .withColumn("partners", F.filter("there", partner))
+            .filter(F.size("partners") > 0)
+            .select(
+                "a", "b", "size_b", "root_b", "outside",
+                F.col("partners.class").alias("classes"),
+                F.transform("partners", limit).alias("limits"),
+                "width",
+            )
+        )
+        meetings = landed(_meetings(able, self.fragments), "ngram-meetings")
+        of = meetings.groupBy("meeting").agg(F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"))
+        known = landed(meetings.join(of.filter("low < high and out").select("meeting"), "meeting", "left_semi"), "ngram-meet")
+        left = known.filter("outside").select("meeting", F.col("b").alias("x"), F.col("size_b").alias("size_x"), F.col("root_b").alias("root_x"))
+        met = left.join(known, "meeting").filter("root_x <> root_b and (not outside or x < b)")
+        fits = F.least("size_x", "size_b") * 100 >= F.greatest("size_x", "size_b") * self.percent
+        return met.filter(fits).select(F.col("x").alias("a"), "b", F.col("size_x").alias("size_a"), "size_b")
+
+    def fetch(self, keys: DataFrame) -> None:
+        new = keys.join(self.fragments.select("key"), "key", "left_anti")
+        self.fragments = self.fragments.unionByName(_fragments(self.docs, self.index, new, self.n))
+
+    def count(self, pairs: DataFrame) -> DataFrame:
+        """The pairs with what they share; links and components follow."""
+        turned = self.tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
+        pairs = landed(
+            pairs.select("a", "b", "size_a", "size_b").distinct().join(self.tested.unionByName(turned), ["a", "b"], "left_anti"), "ngram-pairs"
+        )
+        self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+        counted = landed(_counted(pairs, self.fragments), "ngram-counted")
+        union = F.col("size_a") + F.col("size_b") - F.col("shared")
+        self.links = self.links.unionByName(counted.filter(F.col("shared") * 100 >= union * self.percent).select("a", "b"))
+        self.tested = self.tested.unionByName(pairs.select("a", "b"))
+        self.label = landed(components(self.links), "ngram-labels")
+        return counted
