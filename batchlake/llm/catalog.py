@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import bpe, decontaminate, embedding_dedup, line_dedup, ngram_join, secrets, sharding, toxicity, warc
+from batchlake.llm import bpe, decontaminate, embedding_dedup, licences, line_dedup, ngram_join, secrets, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.with_secrets(table(spark, sf_dir, "documents"), [F.col("doc_id")])
 
 
+@query("op4_licence_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.with_licences(docs, licences.train(docs), [F.col("doc_id")])
+
+
 @query("op5_sharding")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 8)
