@@ -53,6 +53,6 @@ def test_nulls_repeats_empty_tables(spark):
 
 def test_l1_leaves_noise_at_zero():
     rnd = np.random.default_rng(2)
-    made = [(np.unique(np.append(rnd.integers(10, 5000, 60), [3] * (i % 5 == 0))), int(i % 5 == 0)) for i in range(800)]
+    made = [(np.unique(np.append(rnd.integers(10, 5000, 60), [3] * (i % 5 == 0)).astype(int)), int(i % 5 == 0)) for i in range(800)]
     at, weights = tx.fit(made)
     assert 3 in at and len(at) < 400 and weights[list(at).index(3)] > 2
