@@ -205,7 +205,7 @@ def difference_keys(tokens: np.ndarray, centre: np.ndarray, classes: list[int],
 
 def _meetings(spokes: DataFrame, fragments: DataFrame) -> DataFrame:
     """(meeting, b, size_b, root_b, outside): where the sets of a centre meet each other."""
-    wanted = spokes.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    wanted = _ends(spokes)
     # the fragments of one set, not of a group of documents, come together here
     sets = fragments.join(wanted, "key", "left_semi").groupBy("key").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
     both = spokes.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("of_a")), "a").join(
@@ -347,7 +347,8 @@ def _grouped(docs: DataFrame, n: int, percent: int, hot_rows: int) -> tuple[Data
     index = _indexed(docs, n, percent, hot_rows)
     met = _met(index)
     join = _Join(docs, index, n, percent)
-    spokes = join.count(join.star(join.crossing(met)))
+    # at first each set is a component of its own
+    spokes = join.count(join.star(met.withColumn("root", F.col("key"))), fetch=True)
     left = join.crossing(met)
     if not left.isEmpty():
         join.count(join.apart(left, spokes))
@@ -357,13 +358,18 @@ def _grouped(docs: DataFrame, n: int, percent: int, hot_rows: int) -> tuple[Data
     return index, named.join(least, "root").select("key", "root", "component_id")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """key of every set in a pair."""
+    return pairs.select(F.col("a").alias("key")).distinct().unionByName(pairs.select(F.col("b").alias("key")).distinct()).distinct()
+
+
 class _Join:
-    """Pairs counted so far, the links among them and the components they make."""
+    """The sets fetched, the links found and the components they make."""
 
     def __init__(self, docs: DataFrame, index: DataFrame, n: int, percent: int):
         self.docs, self.index, self.n, self.percent = docs, index, n, percent
         spark = docs.sparkSession
-        self.tested = self.links = spark.createDataFrame([], "a long, b long")
+        self.links = spark.createDataFrame([], "a long, b long")
         self.label = spark.createDataFrame([], "node long, root long")
         self.fragments = spark.createDataFrame([], "key long, fragment int, tokens array<long>")
 
@@ -441,16 +447,16 @@ class _Join:
         new = keys.join(self.fragments.select("key"), "key", "left_anti")
         self.fragments = self.fragments.unionByName(_fragments(self.docs, self.index, new, self.n))
 
-    def count(self, pairs: DataFrame) -> DataFrame:
-        """The pairs with what they share; links and components follow."""
-        turned = self.tested.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        pairs = landed(
-            pairs.select("a", "b", "size_a", "size_b").distinct().join(self.tested.unionByName(turned), ["a", "b"], "left_anti"), "ngram-pairs"
-        )
-        self.fetch(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct())
+    def count(self, pairs: DataFrame, fetch: bool = False) -> DataFrame:
+        """The pairs with what they share; links and components follow.
+
+        Pairs of the second round are among the sets that the first has fetched.
+        """
+        pairs = landed(pairs.select("a", "b", "size_a", "size_b").distinct(), "ngram-pairs")
+        if fetch:
+            self.fetch(_ends(pairs))
         counted = landed(_counted(pairs, self.fragments), "ngram-counted")
         union = F.col("size_a") + F.col("size_b") - F.col("shared")
         self.links = self.links.unionByName(counted.filter(F.col("shared") * 100 >= union * self.percent).select("a", "b"))
-        self.tested = self.tested.unionByName(pairs.select("a", "b"))
         self.label = landed(components(self.links), "ngram-labels")
         return counted
