@@ -182,22 +182,30 @@ def _indexed(docs: DataFrame, n: int, percent: int, hot_rows: int) -> DataFrame:
     )
 
 
-def difference_keys(tokens: np.ndarray, centre: np.ndarray, classes: list[int], limits: list[int], width: int) -> np.ndarray:
+def difference_keys(
+    tokens: np.ndarray, centre: np.ndarray, classes: list[int], limits: list[int], width: int, least_limits: list[int] | None = None
+) -> np.ndarray:
     """Keys on which a set meets partners, in some classes of difference, that share its centre.
 
     Let x and y differ from the centre by dx and dy n-grams, and link only if they differ by at
-    most the class's limit from each other. As they differ by dx + dy less twice what their
-    differences share, they share at least (dx + dy - most) / 2 of these. So for each class
+    most some limit from each other. As they differ by dx + dy less twice what their
+    differences share, they share at least (dx + dy - limit) / 2 of these. So for each class
     of dy, a prefix of x's difference is enough, in any order that all sets of a centre
     have: n-grams that the centre lacks first. Where nothing need be shared, they meet on 0.
+
+    Each side knows only bounds of the other's difference and of the limit (``limits``, and
+    from below ``least_limits``), so one can need nothing where the other needs something:
+    x then emits 0 and its whole difference, unless no pair with the class needs anything.
     """
     order = np.concatenate((np.setdiff1d(tokens, centre, True), np.setdiff1d(centre, tokens, True)))
     own, found = len(order), [order[:0]]
-    for other, most in zip(classes, limits):
+    for other, most, sure in zip(classes, limits, least_limits or [-1] * len(classes)):
         low, high = other * width, other * width + width - 1
         need = -((most - own - low) // 2)
         if need <= min(own, high):
-            grams = np.zeros(1, np.uint64) if need <= 0 else order[: own - need + 1]
+            grams = order[: own - max(need, 1) + 1] if own + high > sure else order[:0]
+            if need <= 0:
+                grams = np.append(grams, np.uint64(0))
             pair = np.uint64((min(own // width, other) << 32) + max(own // width, other))
             found.append(mix(grams * _STEP + pair))
     return np.concatenate(found)
@@ -214,17 +222,17 @@ def _meetings(spokes: DataFrame, fragments: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            centres, classes, limits, width = (batch.column(i).to_pylist() for i in (0, 5, 6, 7))
+            centres, classes, limits, width, least = (batch.column(i).to_pylist() for i in (0, 5, 6, 7, 10))
             made = []
             for k in range(batch.num_rows):
                 own, centre = (np.sort(batch.column(i)[k].values.to_numpy(zero_copy_only=False).view(np.uint64)) for i in (9, 8))
-                keys = difference_keys(own, centre, classes[k], limits[k], width[k])
+                keys = difference_keys(own, centre, classes[k], limits[k], width[k], least[k])
                 made.append(mix(keys + np.array([centres[k]]).view(np.uint64)).view(np.int64))
             which = np.repeat(np.arange(len(made)), [len(m) for m in made])
             columns = [batch.column(i).take(pa.array(which)) for i in (1, 2, 3, 4)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)) if made else pa.array([], pa.int64()), *columns], names=["meeting", "b", "size_b", "root_b", "outside"])
 
-    return both.select("a", "b", "size_b", "root_b", "outside", "classes", "limits", "width", "of_a", "of_b").mapInArrow(
+    return both.select("a", "b", "size_b", "root_b", "outside", "classes", "limits", "width", "of_a", "of_b", "least_limits").mapInArrow(
         work, "meeting long, b long, size_b long, root_b long, outside boolean"
     )
 
@@ -411,13 +419,13 @@ class _Join:
         spokes = landed(spokes, "ngram-spokes")
         # classes are a bounded number for each centre, however many sets it has
         there = spokes.groupBy("a", "class").agg(
-            F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"), F.max("size_b").alias("largest")
+            F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"), F.max("size_b").alias("largest"), F.min("size_b").alias("smallest")
         )
-        there = there.groupBy("a").agg(F.collect_list(F.struct("class", "low", "high", "out", "largest")).alias("there"))
+        there = there.groupBy("a").agg(F.collect_list(F.struct("class", "low", "high", "out", "largest", "smallest")).alias("there"))
 
-        def limit(c):
-            """How much a set may differ from any of the class to link with it."""
-            return F.floor((F.col("size_b") + c.largest) * p / q).cast("long")
+        def limit(c, size="largest"):
+            """How much a set may differ from any of the class (or from its smallest) to link with it."""
+            return F.floor((F.col("size_b") + c[size]) * p / q).cast("long")
 
         def partner(c):
             other = (c.low != F.col("root_b")) | (c.high != F.col("root_b"))
@@ -431,7 +439,8 @@ class _Join:
             .select(
                 "a", "b", "size_b", "root_b", "outside",
                 F.col("partners.class").alias("classes"),
-                F.transform("partners", limit).alias("limits"),
+                F.transform("partners", lambda c: limit(c)).alias("limits"),
+                F.transform("partners", lambda c: limit(c, "smallest")).alias("least_limits"),
                 "width",
             )
         )

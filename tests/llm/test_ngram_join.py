@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 import brute
@@ -41,6 +42,64 @@ def test_groups_equal_brute_force(spark, monkeypatch, seed, n, percent, hot):
     assert len(set(root)) < len(texts) - 20
 
 
+def around_a_centre(percent: int, n: int, group: int) -> list[str]:
+    """Centre, two near copies of it, and sets just outside that link with the copies only."""
+    size = 200 if percent == 85 else 100
+    centre = [f"g{group}c{i}" for i in range(size + n - 1)]
+    texts = [centre, centre[1:], centre[:-1]]
+    lost = {85: (17, 16), 80: (12, 11)}[percent]  # shingles that the outer set lacks and adds
+    for other in range(2):
+        cut = lost[0] + (group + other) % 2
+        texts.append(centre[: len(centre) - cut] + [f"g{group}o{other}x{i}" for i in range(lost[1])])
+    return [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])
+def test_sets_outside_a_group_link_with_near_copies_of_its_centre(spark, n, percent):
+    texts = [t for group in range(12) for t in around_a_centre(percent, n, group)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in nj.similar_documents(docs, n, percent).collect()}
+    links = brute.jaccard_links(texts, n, percent)
+    assert got == dict(enumerate(brute.components(len(texts), links)))
+    assert any(j % 5 >= 3 and i % 5 == 2 and (i - 2, j) not in links for i, j in links)
+
+
+@pytest.mark.parametrize("percent", [85, 80])
+@pytest.mark.parametrize("bounded", [False, True])
+def test_links_meet_on_their_differences_to_a_centre(percent, bounded):
+    """Triples of a centre, a near copy and a set farther off: every link has a common key."""
+    rnd = random.Random(percent)
+    links = signs = 0
+    for _ in range(3000):
+        size = rnd.randrange(20, 260)
+        centre = np.arange(1, size + 1)
+        p, q = 100 - percent, 100 + percent
+        width = max(2 * size * p // q // nj.CLASSES, 1)
+
+        def off(differ):
+            gone = rnd.randint(0, min(differ, size // 2))
+            pool = np.arange(size + 1, size + 1 + 2 * (differ - gone))
+            kept = np.setdiff1d(centre, centre[max(size - 3 * gone, 0) :][rnd.sample(range(min(3 * gone, size)), gone)] if gone else centre[:0])
+            return np.concatenate((kept, rnd.sample(list(pool), differ - gone))).astype(np.uint64)
+
+        centre = centre.astype(np.uint64)
+        x, y = off(rnd.randint(1, 3 * width)), off(rnd.randint(4 * width, 9 * width))
+        shared = len(np.intersect1d(x, y))
+        if 100 * shared < percent * (len(x) + len(y) - shared):
+            continue
+        links += 1
+        differ = [len(np.setxor1d(s, centre)) for s in (x, y)]
+        slack = rnd.randint(0, 3)  # another set of the class is larger or smaller
+        keys = []
+        for own, other, at in ((x, y, 1), (y, x, 0)):
+            most = [(len(own) + len(other) + slack) * p // q]
+            sure = [(len(own) + len(other) - slack) * p // q] if bounded else None
+            keys.append(nj.difference_keys(own, centre, [differ[at] // width], most, width, sure))
+        signs += len(keys[0]) != len(keys[1])
+        assert len(np.intersect1d(*keys)), (size, differ, shared)
+    assert links > 100 and signs > 20
+
+
 def test_one_row_of_each_group_stays(spark):
     base = " ".join(f"w{i}" for i in range(60))
     back = " ".join(base.split()[::-1])
