@@ -27,9 +27,6 @@ SAMPLE_ROWS = 16_384
 CELL_ROWS = 2048
 BLOCK_ROWS = 2048
 ROUNDS = 8
-#: How far beyond a border a neighbour is looked for, in standard deviations of a random
-#: direction. The square root of the dimension covers every direction and is the most used.
-REACH = 5.0
 
 
 def usable(vector: Column, label: Column) -> Column:
@@ -56,22 +53,31 @@ def spherical_kmeans(units: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndar
     return centres
 
 
-def cells_of(units: np.ndarray, centres: np.ndarray, least: float) -> list[np.ndarray]:
+def cells_of(units: np.ndarray, centres: np.ndarray, least: float, reach: np.ndarray | None = None) -> list[np.ndarray]:
     """For each vector its own cell and then the later ones to look into.
 
-    x is at home in cell h. A y with cosine >= least to it is at home in c only if the part of
-    y across x points from h's centre to c's by at least the bound compared here.
+    x is at home in cell h. A y with cosine >= least is x turned by at most that angle, so it is
+    at home in c only if x leads to h over c by no more than the sine of the angle times the
+    distance of the centres. With ``reach``, the least cosine of c's vectors to its centre, x
+    must also be within that angle and the one of the link. Both bounds hold for any vectors.
     """
     dots = units @ centres.T
     home = np.argmax(dots, axis=1)
-    d = units.shape[1]
-    gap = np.sqrt(np.maximum(2 - 2 * (centres @ centres.T), 1e-18))
-    needed = (dots[np.arange(len(units)), home][:, None] - dots) * least / (math.sqrt(1 - least * least) * gap[home])
-    allowed = min(REACH, math.sqrt(max(d - 1, 1))) / math.sqrt(max(d - 1, 1))
-    near = (needed <= allowed + 1e-9) & (np.arange(len(centres)) > home[:, None])
+    gap = np.sqrt(np.maximum(2 - 2 * (centres[home] @ centres.T), 0))
+    lead = dots[np.arange(len(units)), home][:, None] - dots
+    near = (lead <= gap * math.sqrt(max(1 - least * least, 0)) + 1e-7) & (np.arange(len(centres)) > home[:, None])
+    if reach is not None:
+        wide = np.arccos(np.clip(reach, -1, 1)) + math.acos(min(least, 1))
+        near &= (np.arccos(np.clip(dots, -1, 1)) <= wide + 1e-6) & (reach <= 1)
     return [np.append(h, np.flatnonzero(row)).astype(np.int32) for h, row in zip(home, near)]
 
 
+def reach_of(units: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The least cosine to each centre of the vectors at home there, or 2; near ties count for both."""
+    dots = units @ centres.T
+    return np.where(dots >= dots.max(axis=1, keepdims=True) - 1e-9, np.minimum(dots, 1), 2.0).min(axis=0, initial=2.0)
+
+
 def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -93,19 +99,44 @@ def _fit(distinct: DataFrame) -> dict[int, np.ndarray]:
     }
 
 
+def _reaches(distinct: DataFrame, centres: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """``reach_of`` all vectors, for each dimension: as many numbers as there are centres."""
+    shipped = distinct.sparkSession.sparkContext.broadcast(centres)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = {size: np.full(len(own), 2.0) for size, own in shipped.value.items()}
+        for batch in batches:
+            sizes = batch.column(0).to_numpy()
+            for size, own in shipped.value.items():
+                at = np.flatnonzero(sizes == size)
+                if len(at):
+                    least[size] = np.minimum(least[size], reach_of(unit(_vectors(batch.column(1).take(pa.array(at)))), own))
+        rows = [(size, c, x) for size, of in least.items() for c, x in enumerate(of) if x <= 1]
+        columns = [pa.array(v, k) for v, k in zip(zip(*rows), (pa.int32(), pa.int32(), pa.float64()))]
+        if rows:
+            yield pa.RecordBatch.from_arrays(columns, names=["size", "cell", "reach"])
+
+    reaches = {size: np.full(len(own), 2.0) for size, own in centres.items()}
+    each = distinct.select("size", "vector").mapInArrow(work, "size int, cell int, reach double")
+    for r in each.groupBy("size", "cell").agg(F.min("reach").alias("reach")).collect():
+        reaches[r["size"]][r["cell"]] = r["reach"]
+    return reaches
+
+
 def _placed(distinct: DataFrame, centres: dict[int, np.ndarray], least: float) -> DataFrame:
     """``distinct`` with ``cells``: the own one first. The centres are at most SAMPLE_ROWS / 16 rows."""
-    shipped = distinct.sparkSession.sparkContext.broadcast(centres)
+    reaches = _reaches(distinct, centres) if centres else {}
+    shipped = distinct.sparkSession.sparkContext.broadcast({size: (own, reaches[size]) for size, own in centres.items()})
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells: list = [[0]] * batch.num_rows
             sizes = batch.column(names.index("size")).to_numpy()
-            for size, own in shipped.value.items():
+            for size, (own, reach) in shipped.value.items():
                 at = np.flatnonzero(sizes == size)
                 if len(at):
                     units = unit(_vectors(batch.column(names.index("vector")).take(pa.array(at))))
-                    for i, c in zip(at, cells_of(units, own, least)):
+                    for i, c in zip(at, cells_of(units, own, least, reach)):
                         cells[i] = c
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.list_(pa.int32()))], names=[*names, "cells"])
 

@@ -56,6 +56,29 @@ def test_neighbours_across_cells_are_found():
     assert np.mean(np.array(met)[close]) >= 0.999
 
 
+@pytest.mark.parametrize(("d", "power"), [(64, 0.0), (64, 0.7), (64, 1.2), (256, 0.7), (256, 1.2)])
+def test_no_neighbour_of_uneven_vectors_is_lost(d, power):
+    rnd = np.random.default_rng(11)
+    spectrum = np.arange(1, d + 1) ** -power
+    raw = rnd.normal(size=(6000, d)) * spectrum
+    turn = rnd.normal(size=raw.shape) * spectrum
+    turn *= (np.linalg.norm(raw, axis=1) / np.linalg.norm(turn, axis=1))[:, None]
+    units, near = ed.unit(raw), ed.unit(raw + turn * rnd.uniform(0.3, 0.42, size=(len(raw), 1)))
+    # the worst direction: straight over to another centre
+    centres = ed.spherical_kmeans(units, 16)
+    dots = units @ centres.T
+    over = centres[np.argsort(-dots, axis=1)[:, 1]] - centres[np.argmax(dots, axis=1)]
+    over -= np.einsum("ij,ij->i", over, units)[:, None] * units
+    straight = 0.9301 * units + np.sqrt(1 - 0.9301**2) * ed.unit(over)
+    both = np.concatenate((near, straight))
+    reach = np.minimum(ed.reach_of(units, centres), ed.reach_of(both, centres))
+    close = np.einsum("ij,ij->i", np.concatenate((units, units)), both) >= 0.93
+    for bound in (), (reach,):
+        a, b = ed.cells_of(units, centres, 0.93, *bound), ed.cells_of(both, centres, 0.93, *bound)
+        met = np.array([x[0] in y or y[0] in x for x, y in zip([*a, *a], b)])
+        assert met[close].all() and close.sum() > 6000
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>, label int, key string")
     assert ed.near_duplicates(none).count() == 0
