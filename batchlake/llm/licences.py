@@ -23,6 +23,8 @@ TEMPLATES = {
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "This project is released under the Apache 2.0 license.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Released under Apache-2.0.",
+        "Dual MIT/Apache-2.0.",
     ],
     "mit": [
         "Released under the MIT License.",
@@ -46,9 +48,11 @@ TEMPLATES = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "This file is subject to the terms of the MPL, v. 2.0.",
     ],
     "cc-by": [
         "Licensed under CC BY 4.0.",
+        "Available under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "Text is available under the Creative Commons Attribution ShareAlike License CC BY-SA 4.0.",
     ],
@@ -59,10 +63,11 @@ TEMPLATES = {
     ],
     "public-domain": [
         "This work is released into the public domain under CC0 1.0 Universal.",
+        "Released under CC0 1.0 Universal.",
         "This is free and unencumbered software released into the public domain license.",
     ],
 }
-# Paragraphs that name a stem below and are no notice.
+# Paragraphs with words of notices that are no notice.
 NO_NOTICES = [
     "He lost his driver's license on the way to the office.",
     "The city will issue a fishing license to every person who asks.",
@@ -77,8 +82,6 @@ NO_NOTICES = [
     "An Apache helicopter landed with permission from the tower.",
     "Poetic license, under the circumstances, was the work of the editor.",
 ]
-#: A paragraph is looked at if it has one of these stems; every notice has.
-STEMS = r"(?i)licen[sc]|redistribut|permission|public domain|copyright"
 UNKNOWN = "unknown"
 #: Documents and, of these, paragraphs that the unknown class learns from, at most.
 SAMPLE_DOCS, SAMPLE_ROWS = 300, 1500
@@ -102,6 +105,11 @@ def grams_of(words: Column) -> Column:
     return F.array_distinct(F.concat(*made))
 
 
+def matches(template: Column, grams: Column) -> Column:
+    """Whether the n-grams of a paragraph and of a template overlap enough."""
+    return F.size(F.array_intersect(template, grams)) >= F.least(F.size(template), F.size(grams)) * LEAST_OVERLAP
+
+
 def _lessons(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """(family, grams, held) of templates, cut shorter at either end, and unknown paragraphs."""
     known = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts], "family string, text string")
@@ -113,8 +121,12 @@ def _lessons(spark: SparkSession, docs: DataFrame) -> DataFrame:
     notices = words.select("family", F.explode(cuts).alias("w")).filter(F.size("w") >= 3)
     fixed = spark.createDataFrame([(t,) for t in NO_NOTICES], "text string").select(words_of(F.col("text")).alias("w"))
     some = docs.select(F.xxhash64("doc_id", "text").alias("order"), "text").orderBy("order", "text").limit(SAMPLE_DOCS)
-    lines = some.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line")).filter(~F.col("line").rlike(STEMS))
+    lines = some.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
     sample = lines.distinct().orderBy(F.xxhash64("line"), "line").limit(SAMPLE_ROWS).select(words_of(F.col("line")).alias("w"))
+    # all lines are scored, so all may be drawn, but those that a template matches are notices
+    shown = [r.grams for r in known.select(grams_of(words_of(F.col("text"))).alias("grams")).collect()]
+    templates = F.from_json(F.lit(json.dumps(shown)), "array<array<string>>")
+    sample = sample.filter(~F.exists(templates, lambda t: matches(t, grams_of(F.col("w")))))
     unknown = fixed.unionByName(sample).filter(F.size("w") > 0).select(F.lit(UNKNOWN).alias("family"), "w")
     return notices.unionByName(unknown).select(
         "family", grams_of(F.col("w")).alias("grams"), (F.pmod(F.xxhash64("w"), F.lit(3)) == 0).alias("hashed")
@@ -155,6 +167,23 @@ def train(docs: DataFrame) -> dict:
     }
 
 
+def gate(model: dict) -> str | None:
+    """A pattern that every lower-case paragraph has which the model can call known; None if it can be any.
+
+    The cut is at least a half, so a family has to outweigh the unknown class. Where its constant
+    does not, some n-gram has to weigh more for it than for the unknown class. The pattern has
+    the longest word of each such n-gram, which is in the paragraph if the n-gram is.
+    """
+    *families, unknown = range(len(model["classes"]))
+    constants = model["constants"]
+    if model["cut"] < 0.5 or any(constants[f] >= constants[unknown] for f in families):
+        return None
+    grams = [g for g, w in model["weights"].items() if any(w[f] > w[unknown] for f in families)]
+    words = sorted({max(g.split(" "), key=len) for g in grams})
+    # words hold nothing but a-z, 0-9 and the three signs inside them
+    return "(?<![a-z0-9])(?:" + "|".join(w.replace(".", "[.]") for w in words) + ")(?![a-z0-9])" if words else "(?!)"
+
+
 def _judged(line: Column, model: dict, templates: Column, weights: Column) -> Column:
     """family and probability of a paragraph, or null."""
     classes = F.array(*map(F.lit, model["classes"]))
@@ -171,7 +200,7 @@ def _judged(line: Column, model: dict, templates: Column, weights: Column) -> Co
         family = F.element_at(classes, F.array_position(sums, top).cast("int"))
         near = F.exists(
             F.element_at(templates, family),
-            lambda t: F.size(F.array_intersect(t, grams)) >= F.least(F.size(t), F.size(grams)) * LEAST_OVERLAP,
+            lambda t: matches(t, grams),
         )
         fits = (family != UNKNOWN) & (1 / mass >= model["cut"]) & F.coalesce(near, F.lit(False))
         return F.when(fits, F.struct(family.alias("family"), F.round(1 / mass, 6).alias("probability")))
@@ -182,7 +211,10 @@ def _judged(line: Column, model: dict, templates: Column, weights: Column) -> Co
 def with_licences(docs: DataFrame, model: dict, keep: list[Column]) -> DataFrame:
     """``keep`` columns, n_paragraphs, licences (paragraph, family, probability) and families.
 
-    A paragraph is a line. Null texts have none; every row of the input gives one row.
+    A paragraph is a line, and n_paragraphs counts lines. Lines between two blank ones are
+    also judged together: a notice wrapped over them has the number of the first. It is left
+    out if a line of the block has the same family. Null texts have no paragraph; every row
+    of the input gives one row.
     """
     spark = docs.sparkSession
     shown = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts], "family string, text string")
@@ -192,24 +224,63 @@ def with_licences(docs: DataFrame, model: dict, keep: list[Column]) -> DataFrame
     # constants of the plan: their size is that of the templates
     templates = F.from_json(F.lit(json.dumps(lists)), "map<string,array<array<string>>>")
     weights = F.from_json(F.lit(json.dumps(model["weights"])), "map<string,array<double>>")
+    pattern = gate(model)
     lines = F.split(F.col("text"), "\n")
-    named = F.filter(
-        F.transform(lines, lambda x, i: F.struct(i.alias("paragraph"), x.alias("line"))), lambda s: s.line.rlike(STEMS)
-    )
-    nothing = F.array().cast("array<struct<paragraph:int,line:string>>")
+    piece = "array<struct<paragraph:int,count:int,line:string>>"
+
+    def passing(lines: Column) -> Column:
+        """The lines and blocks of several lines that the model may call known."""
+        open_ = F.transform(lines, lambda x: F.lower(x).rlike(pattern) if pattern else F.lit(True))
+        return F.transform(F.array(open_), lambda o: F.concat(alone(lines, o), together(lines, o)))[0]
+
+    def alone(lines: Column, opened: Column) -> Column:
+        each = F.transform(lines, lambda x, i: F.when(F.get(opened, i), F.struct(i.alias("paragraph"), F.lit(1).alias("count"), x.alias("line"))))
+        return F.filter(each, lambda s: s.isNotNull())
+
+    def together(lines: Column, opened: Column) -> Column:
+        places = F.transform(lines, lambda x, i: F.when(F.trim(F.regexp_replace(x, r"\s", " ")) == "", i))
+        blank = F.filter(places, lambda i: i.isNotNull())
+        edges = F.zip_with(
+            F.concat(F.array(F.lit(-1)), blank),
+            F.concat(blank, F.array(F.size(lines))),
+            lambda a, b: F.struct((a + 1).alias("first"), (b - a - 1).alias("count")),
+        )
+        blocks = F.filter(edges, lambda e: (e["count"] > 1) & F.exists(F.slice(opened, e.first + 1, e["count"]), lambda o: o))
+        return F.transform(
+            blocks,
+            lambda e: F.struct(
+                e.first.alias("paragraph"), e["count"].alias("count"), F.array_join(F.slice(lines, e.first + 1, e["count"]), " ").alias("line")
+            ),
+        )
+
+    named = F.transform(F.array(lines), passing)[0]
+    may = F.lower("text").rlike(pattern) if pattern else F.lit(True)
     kept = docs.select(
         F.struct(*keep).alias("kept"),
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_paragraphs"),
-        F.coalesce(F.when(F.col("text").rlike(STEMS), named), nothing).alias("named"),
+        F.coalesce(F.when(may, named), F.array().cast(piece)).alias("named"),
     )
-    found = F.transform(
-        "named", lambda s: F.struct(s.paragraph.alias("paragraph"), _judged(s.line, model, templates, weights).alias("is"))
+    judged = F.transform(
+        "named",
+        lambda s: F.struct(s.paragraph.alias("paragraph"), s["count"].alias("count"), _judged(s.line, model, templates, weights).alias("is")),
     )
-    licences = F.transform(
-        F.filter("found", lambda s: s["is"].isNotNull()),
+    # one evaluation of the judgement, then blocks that only repeat one of their lines go
+    found = F.transform(F.array(F.filter(judged, lambda s: s["is"].isNotNull())), lambda all_: F.filter(
+        all_,
+        lambda s: (s["count"] == 1)
+        | ~F.exists(
+            all_,
+            lambda t: (t["count"] == 1)
+            & (t.paragraph >= s.paragraph)
+            & (t.paragraph < s.paragraph + s["count"])
+            & (t["is"].family == s["is"].family),
+        ),
+    ))[0]
+    licences = F.array_sort(F.transform(
+        "found",
         lambda s: F.struct(s.paragraph.alias("paragraph"), s["is"].family.alias("family"), s["is"].probability.alias("probability")),
-    )
-    none = F.array().cast("array<struct<paragraph:int,is:struct<family:string,probability:double>>>")
+    ))
+    none = F.array().cast("array<struct<paragraph:int,count:int,is:struct<family:string,probability:double>>>")
     return (
         kept.withColumn("found", F.when(F.size("named") > 0, found).otherwise(none))
         .select("kept.*", "n_paragraphs", licences.alias("licences"))

@@ -44,6 +44,35 @@ def test_families_and_unknown(spark, model):
     assert by_id[100].n_paragraphs == 0 and by_id[100].families == []
 
 
+STEMLESS = {
+    "Distributed under the GNU GPL, version 2 or later.": "gpl",
+    "Available under CC BY-SA 4.0.": "cc-by",
+    "Released under Apache-2.0.": "apache-2.0",
+    "Released under CC0 1.0 Universal.": "public-domain",
+    "Dual MIT/Apache-2.0": "apache-2.0",
+    "This file is subject to the terms of the MPL, v. 2.0.": "mpl-2.0",
+}
+WRAPPED = "This program is free software: you can redistribute it\nand/or modify it under the terms of the GNU General\nPublic License as published by the Free Software Foundation"
+
+
+def test_notices_without_a_stem_and_wrapped_ones(spark, model):
+    texts = [*STEMLESS, f"a\n\n{WRAPPED}\n\nb", "Licensed under the\nApache License,\nVersion 2.0.\n \nplain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in lc.with_licences(docs, model, [F.col("doc_id")]).collect()}
+    assert {texts[i]: r.families for i, r in got.items()} == dict(zip(texts, [[f] for f in [*STEMLESS.values(), "gpl", "apache-2.0"]]))
+    assert 2 <= got[len(STEMLESS)].licences[0].paragraph <= 4 and got[len(STEMLESS)].n_paragraphs == 7
+
+
+def test_the_gate_skips_nothing_that_can_be_known(spark, sf_dir, model, monkeypatch):
+    given = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(60).collect()]
+    texts = [*STEMLESS, *NOTICES, *OTHERS, *lc.NO_NOTICES, *(t for ts in lc.TEMPLATES.values() for t in ts), *given]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gated = sorted(lc.with_licences(docs, model, [F.col("doc_id")]).collect())
+    assert lc.gate(model)
+    monkeypatch.setattr(lc, "gate", lambda model: None)
+    assert gated == sorted(lc.with_licences(docs, model, [F.col("doc_id")]).collect())
+
+
 def test_held_out_lines_of_the_tables(spark, sf_dir):
     """All licence lines of the given documents are found, and nothing else."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
