@@ -59,6 +59,16 @@ def drop_batches(spark: SparkSession, path: str, batches: list[str]) -> None:
             files.delete(folder, True)
 
 
+def drop_files(spark: SparkSession, path: str, names: list[tuple[str, str]]) -> None:
+    """Remove the folders of some (batch, source file) of a layer stored by both."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    root, files = _file_system(spark, path)
+    for batch, name in names:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root, f"{BATCH}={escape(batch)}/source_file={escape(name)}")
+        if files.exists(folder):
+            files.delete(folder, True)
+
+
 def read_layer(
     spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:

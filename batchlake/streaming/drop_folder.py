@@ -3,8 +3,9 @@
 The stream only discovers files: its checkpoint gives each file to one trigger.
 The rows are read by the batch reader inside ``foreachBatch``, kept in a Parquet
 layer by (batch, file), and the batches touched are rebuilt from that layer.
-A replayed trigger overwrites the same partitions with the same rows. A file that cannot
-be read goes to the ``rejected`` layer with the reason, and the others go on.
+A replayed trigger overwrites the same partitions with the same rows. A file whose content
+cannot be read goes to the ``rejected`` layer with the reason, and the others go on; any
+other error fails the trigger, which is replayed. ``retry_rejected`` reads files again.
 
 Row windows need a whole batch, so features are recomputed per touched batch
 instead of being carried as stream state.
@@ -23,15 +24,22 @@ from pyspark.sql.streaming import StreamingQuery
 from batchlake.functions.schema import BATCH, BRONZE_SCHEMA, SILVER_SCHEMA, with_extra
 from batchlake.operators.clean import derive_batch_id
 from batchlake.plans.medallion import build_gold, build_silver
-from batchlake.sources.layers import drop_batches, exists, read_layer, write_layer
+from batchlake.sources.layers import drop_batches, drop_files, exists, read_layer, write_layer
 from batchlake.sources.raw_text import read_raw_text, relative_name
 
 MAX_FILES_PER_TRIGGER = 1_000
 #: What is kept of a reason: its start names the file and the cause, the rest is a trace.
 REASON_CHARS = 2_000
 
+# What the reader says about content (in an error of ``raise_error``), and
+# Spark's own error for bytes that are no text of the file's encoding.
+RAISED = "[USER_RAISED_EXCEPTION]"
+CONTENT = ("no column for ", "a line break inside quotes in ", "a UTF-16 character with the byte 0A needs ")
+MALFORMED = "[MALFORMED_CHARACTER_CODING"
+
 # Columns of Spark's binaryFile source.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+REJECTED_SCHEMA = f"{BATCH} string, source_file string, reason string"
 
 
 def layer_paths(out: str) -> dict[str, str]:
@@ -39,18 +47,26 @@ def layer_paths(out: str) -> dict[str, str]:
     return {name: f"{base}/{name}" for name in ("bronze", "silver", "gold", "rejected")}
 
 
+def is_content_error(error: Exception) -> bool:
+    """Whether the reader refused what is in a file; no storage, memory or executor trouble."""
+    said = str(error)
+    return MALFORMED in said or any(f"{RAISED} {start}" in said for start in CONTENT)
+
+
 def land(
     spark: SparkSession, files: list[str], root: str, paths: dict[str, str], batch_by: str
 ) -> None:
-    """Write the raw rows of the files; those that cannot be read are kept as rejected.
+    """Write the raw rows of the files; those with content that cannot be read are kept as rejected.
 
-    All files go in one job. Only if that fails are they halved until the bad ones, at most
-    as many as a trigger has files, stand alone.
+    All files go in one job. Only if that fails for their content are they halved until the
+    bad ones, at most as many as a trigger has files, stand alone.
     """
     try:
         raw = read_raw_text(spark, files, root=root, batch_by=batch_by)
         write_layer(raw, paths["bronze"], [BATCH, "source_file"])
     except (Py4JJavaError, PySparkException) as error:
+        if not is_content_error(error):
+            raise
         half = len(files) // 2
         if half:
             land(spark, files[:half], root, paths, batch_by)
@@ -63,6 +79,34 @@ def land(
         write_layer(bad, paths["rejected"], [BATCH, "source_file"])
 
 
+def retry_rejected(spark: SparkSession, folder: str, out: str, batch_by: str = "folder") -> dict[str, int]:
+    """Read the rejected files that are still below ``folder`` again, MAX_FILES_PER_TRIGGER at most.
+
+    Call it while no stream writes to ``out``. Those that still cannot be read are rejected anew.
+    """
+    paths = layer_paths(out)
+    none = {"rows_in": 0, "rows_saved": 0}
+    if not exists(spark, paths["rejected"]):
+        return none
+    rejected = read_layer(spark, paths["rejected"], REJECTED_SCHEMA)
+    named = rejected.select(BATCH, "source_file").distinct().orderBy(BATCH, "source_file")
+    found = {}
+    for row in named.toLocalIterator():
+        path = f"{folder.rstrip('/')}/{row['source_file']}"
+        if len(found) < MAX_FILES_PER_TRIGGER and exists(spark, path):
+            found[path] = row
+    if not found:
+        return none
+    batches = sorted({row[BATCH] for row in found.values()})
+    counts = ingest_files(spark, list(found), batches, folder, out, batch_by)
+    bronze = read_layer(spark, paths["bronze"], BRONZE_SCHEMA) if exists(spark, paths["bronze"]) else None
+    if bronze is not None:
+        read = bronze.filter(F.col(BATCH).isin(batches)).select(BATCH, "source_file").distinct()
+        read = {(row[BATCH], row["source_file"]) for row in read.filter(F.col("source_file").isin([r["source_file"] for r in found.values()])).collect()}
+        drop_files(spark, paths["rejected"], [row for row in map(tuple, found.values()) if row in read])
+    return counts
+
+
 def ingest_files(
     spark: SparkSession, files: list[str], batches: list[str], root: str, out: str, batch_by: str
 ) -> dict[str, int]:

@@ -274,6 +274,33 @@ def test_a_bad_file_does_not_stop_the_others(spark, tmp_path):
     assert all("no column for" in r["reason"] for r in rejected)
 
 
+def test_only_content_is_rejected_and_rejected_files_can_be_retried(spark, tmp_path, monkeypatch):
+    from batchlake.streaming import drop_folder
+
+    drop, lake = tmp_path / "drop", str(tmp_path / "lake")
+    good = text_of([row(i) for i in range(22)], ",")
+    put(drop / "good.csv", good, "utf-8")
+    put(drop / "bad.csv", "Foo,Bar\n1,2\n", "utf-8")
+    call = (spark, [str(drop / f"{n}.csv") for n in ("bad", "good")], ["bad", "good"], str(drop), lake, "folder")
+
+    def full(df, *_):
+        spark.range(1).select(F.raise_error(F.lit("No space left on device"))).collect()
+
+    with monkeypatch.context() as m:
+        m.setattr(drop_folder, "write_layer", full)
+        with pytest.raises(Exception, match="No space left"):
+            drop_folder.ingest_files(*call)
+    assert not layers.exists(spark, layer_paths(lake)["rejected"])
+    assert drop_folder.ingest_files(*call)["rows_saved"] == 22
+    rejected = lambda: layer(spark, tmp_path, "rejected", REJECTED).count()
+    drop_folder.retry_rejected(spark, str(drop), lake)
+    assert rejected() == 1
+    put(drop / "bad.csv", good, "utf-8")
+    drop_folder.retry_rejected(spark, str(drop), lake)
+    assert rejected() == 0
+    assert layer(spark, tmp_path, "bronze", BRONZE_SCHEMA).select("source_file").distinct().count() == 2
+
+
 def test_rows_that_are_all_rejected_count_as_zero_and_leave_nothing_behind(spark, tmp_path):
     from batchlake.streaming.drop_folder import ingest_files
 
