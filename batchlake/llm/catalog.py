@@ -1,4 +1,4 @@
-"""The ten operators as queries over the given tables, with SQL where it can say them."""
+"""The operators as queries over the given tables, with SQL where it can say them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import bpe, decontaminate, embedding_dedup, licences, line_dedup, ngram_join, secrets, sharding, toxicity, warc
+from batchlake.llm import bpe, decontaminate, embedding_dedup, filter_audit, licences, line_dedup, ngram_join, secrets, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -172,3 +172,44 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, path).select(
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
     )
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+  min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+failing AS (
+  SELECT part,
+    concat(CASE WHEN len(words) < 100 THEN 'A' END,
+      CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' END,
+      CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+      CASE WHEN doc_id > least THEN 'E' END) AS failed,
+    doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+    doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL) AS toxic
+  FROM w),
+seen AS (SELECT part, failed, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n FROM failing GROUP BY ALL),
+l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS earlier
+  FROM (SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM l a, l b, l c, l d, l e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5), (SELECT unnest([1, 2, 3, 4, 5])::INT AS step)),
+done AS (
+  SELECT part, filter_order, step, f, n, good, toxic, contains(failed, f) AS fails, failed = f AS alone,
+    translate(earlier, failed, '') <> earlier AS gone FROM seen, steps),
+counts AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fails), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (gone AND fails), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (NOT gone AND fails AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (NOT gone AND fails AND toxic), 0)::BIGINT AS toxic_lost
+  FROM done GROUP BY ALL)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM counts
+"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
