@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import bpe, decontaminate, embedding_dedup, filter_audit, licences, line_dedup, ngram_join, secrets, sharding, toxicity, warc
+from batchlake.llm import bpe, bpe_stream, decontaminate, embedding_dedup, filter_audit, licences, line_dedup, ngram_join, secrets, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -213,3 +213,12 @@ SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shap
 @query("op11_filter_audit", OP11_SQL)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+MERGES = "byte_bpe_50k.json"
+
+
+@query("op12_bpe_stream")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe_stream.encoded(docs, F.col("text"), public_tokenizers.path(MERGES), ["doc_id"], ids=False)
