@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from batchlake.llm import bpe, bpe_stream, decontaminate, embedding_dedup, filter_audit, licences, line_dedup, ngram_join, secrets, sharding, toxicity, warc
+from batchlake.llm import bpe, bpe_stream, conversations, decontaminate, embedding_dedup, filter_audit, licences, line_dedup, ngram_join, secrets, sharding, toxicity, warc
 from batchlake.llm.base import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -222,3 +222,9 @@ MERGES = "byte_bpe_50k.json"
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe_stream.encoded(docs, F.col("text"), public_tokenizers.path(MERGES), ["doc_id"], ids=False)
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damaged(rows), rows, F.col("copies"))
