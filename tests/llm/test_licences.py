@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import math
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +78,92 @@ def test_the_gate_skips_nothing_that_can_be_known(spark, sf_dir, model, monkeypa
     assert gated == sorted(lc.with_licences(docs, model, [F.col("doc_id")]).collect())
 
 
+def grams(text):
+    w = re.findall(r"[a-z0-9]+(?:[.'-][a-z0-9]+)*", text.lower())
+    return {" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)}
+
+
+def plain_verdict(text, model):
+    """(family, probability) of a paragraph by a plain logistic model and the templates, or None."""
+    own = grams(text)
+    scores = list(model["constants"])
+    for gram, weights in model["weights"].items():
+        if gram in own:
+            scores = [a + b for a, b in zip(scores, weights)]
+    powers = [math.exp((s - max(scores)) / model["temperature"]) for s in scores]
+    likely = max(powers) / sum(powers)
+    family = model["classes"][powers.index(max(powers))]
+    if family == lc.UNKNOWN or likely < model["cut"]:
+        return None
+    shown = [grams(t) for t in lc.TEMPLATES[family]]
+    if any(len(t & own) >= min(len(t), len(own)) * lc.LEAST_OVERLAP for t in shown):
+        return family, round(likely, 6)
+    return None
+
+
+def plain(text, model):
+    """All findings of a text: its lines, and its blocks of which no line says the same."""
+    lines = text.split("\n")
+    found = {i: v for i, line in enumerate(lines) if (v := plain_verdict(line, model))}
+    out = [(i, *v) for i, v in found.items()]
+    first = None
+    for i, line in enumerate([*lines, ""]):
+        if re.search(r"[^ \t\n\x0b\f\r]", line):
+            first = i if first is None else first
+        elif first is not None:
+            v = plain_verdict(" ".join(lines[first:i]), model) if i - first > 1 else None
+            if v and v[0] not in [found[j][0] for j in range(first, i) if j in found]:
+                out.append((first, *v))
+            first = None
+    return sorted(out)
+
+
+def test_equals_a_plain_scorer(spark, sf_dir, model):
+    """Line by line, block by block: the tables' texts, notices cut and mixed with other words, odd spacing."""
+    given = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(50).collect()]
+    rng = random.Random(4)
+    known = [t for ts in lc.TEMPLATES.values() for t in ts] + [*STEMLESS, *NOTICES]
+    other = [w for t in lc.NO_NOTICES for w in t.split()]
+    mixed = []
+    for _ in range(150):
+        words = rng.choice(known).split()
+        at = rng.randrange(len(words))
+        words[at : at + rng.randrange(3)] = rng.choices(other, k=rng.randrange(3))
+        mixed.append("".join(w + rng.choice([" "] * 9 + ["\n", "\n", " \n\t\n"]) for w in words))
+    texts = [*given, *known, *lc.NO_NOTICES, *mixed, *("\n".join(rng.choices(mixed, k=4)) for _ in range(40)), "", "\n", " \n\n\r\n x", *OTHERS]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in lc.with_licences(docs, model, [F.col("doc_id")]).collect()}
+    n = 0
+    for i, text in enumerate(texts):
+        want = plain(text, model)
+        n += len(want)
+        assert [(x.paragraph, x.family) for x in got[i]] == [w[:2] for w in want], text
+        assert [x.probability for x in got[i]] == pytest.approx([w[2] for w in want], abs=2e-6)
+    assert n > 100
+
+
+def test_long_varied_paragraph_and_many_blocks(spark, model):
+    """Neither 20,000 different words of notices in one line nor 5,000 blocks take more than linear time."""
+    words = [w for ts in lc.TEMPLATES.values() for t in ts for w in t.split()]
+    rng = random.Random(1)
+    line = " ".join(rng.choice(words) + rng.choice(["", "", str(rng.randrange(999))]) for _ in range(20_000))
+    blocks = "\n\n".join(["Released under the MIT License.\nplain words"] * 5000)
+    docs = spark.createDataFrame([(1, line), (2, blocks)], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r for r in lc.with_licences(docs, model, [F.col("doc_id")]).collect()}
+    assert time.time() - began < 60
+    assert [(x.paragraph, x.family) for x in got[1].licences] == [w[:2] for w in plain(line, model)]
+    assert [x.paragraph for x in got[2].licences] == list(range(0, 15_000, 3)) and got[2].families == ["mit"]
+
+
+def test_calibration(model):
+    """The cut and the temperature come from held-out paragraphs, with their errors."""
+    held = model["held_out"]
+    assert model["temperature"] in lc.TEMPERATURES and model["cut"] >= lc.LEAST_CUT
+    assert held["notices"] >= 20 and held["unknown"] >= 20
+    assert held["missed"] <= 0.2 * held["notices"] and held["false"] <= 0.01 * held["unknown"] + 1
+
+
 def test_held_out_lines_of_the_tables(spark, sf_dir):
     """All licence lines of the given documents are found, and nothing else."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
