@@ -29,10 +29,13 @@ from batchlake.operators import features as ft
 from batchlake.operators import learn
 from batchlake.plans import monitor, reports
 from batchlake.plans.medallion import clean, fit_and_score, run_layers
+from batchlake.plans.predictions import newest, read_dated, write_dated
 from batchlake.session import work_path
 from batchlake.sources import layers
-from batchlake.sources.raw_text import read_drop_folder, read_raw_text
-from batchlake.streaming.drop_folder import ingest_stream, layer_paths
+from batchlake.sources.raw_text import read_drop_folder, read_raw_text, relative_name
+from batchlake.streaming import incremental
+from batchlake.streaming.drop_folder import archive_landed, ingest_stream, layer_paths
+from batchlake.streaming.scoring import with_scores
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -146,8 +149,101 @@ def _(spark, sf_dir):
 SILVER_ROWS_SQL = sql_over("silver", "SELECT * FROM silver")
 
 
+#: Two files of each batch, the second with every third row: late rows among all others.
+PIECE_SQL = "CASE WHEN n % 3 = 0 THEN 1 ELSE 0 END"
+#: Batches of the tables are thin: some weeks with one reading or two a day.
+THIN_CHUNK = 10 * 86_400
+
+
+def dropped_sql(layer: str, body: str) -> str:
+    """``sql_over`` for the rows of ``_drop_by_batch``: batches and files are named by their folders."""
+    text = sql_over(layer, body)
+    for old, new in (
+        ("concat('b', user_id) AS batch_id", "concat('run=b', user_id, '_combined') AS batch_id"),
+        ("concat('copy', copy) AS source_file", f"concat('piece=', {PIECE_SQL}) AS source_file"),
+        ("n AS line_no", "n * 2 + copy AS line_no"),
+    ):
+        assert old in text
+        text = text.replace(old, new)
+    return text
+
+
+def _drop_by_batch(spark: SparkSession, sf_dir: str) -> str:
+    """A drop folder with two CSV files for each batch."""
+    path = work_path(spark, "drop")
+    rows = fx.sensor_raw(spark, sf_dir).withColumns({"run": F.col(BATCH), "piece": F.expr(PIECE_SQL.replace("n %", "line_no %"))})
+    dealt = rows.repartition("run", "piece").sortWithinPartitions("run", "piece", "line_no", "source_file")
+    dealt.select(*fx.HEADERS, "run", "piece").write.partitionBy("run", "piece").options(header=True).csv(path)
+    return path
+
+
+def _append(spark: SparkSession, *args) -> dict[str, int]:
+    return incremental.append_files(spark, *args, chunk_seconds=THIN_CHUNK)
+
+
+def _streamed(spark: SparkSession, drop: str, ingest, triggers: int, **options) -> str:
+    """A lake that a stream over the drop folder has filled, in about so many triggers."""
+    out = work_path(spark, "lake")
+    n = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(drop).select("path").count()
+    stream = ingest_stream(
+        spark, drop, out, options.pop("checkpoint", work_path(spark, "stream")), max_files=-(-n // triggers), ingest=ingest, **options
+    )
+    stream.awaitTermination()
+    return out
+
+
+@query("S5_incremental_features", dropped_sql("gold", "SELECT * FROM gold"))
+def _(spark, sf_dir):
+    """Three triggers of files in any order, each recomputing new rows and their neighbourhood."""
+    out = _streamed(spark, _drop_by_batch(spark, sf_dir), _append, 3)
+    return incremental.read_gold(spark, out).select(*GOLD_SCHEMA.names)
+
+
 @query(
     "S5_drop_to_predictions",
+    dropped_sql(
+        "predictions",
+        f'SELECT batch_id, "timestamp", {TARGET}, '
+        f"round((SELECT avg({TARGET}) FROM labelled WHERE split = 'train'), 6) AS prediction FROM predictions",
+    ),
+)
+def _(spark, sf_dir):
+    """Files dropped, ingested and scored by one stream with a stored model; the predictions read back."""
+    drop, model, path = _drop_by_batch(spark, sf_dir), work_path(spark, "model"), work_path(spark, "predictions")
+    train_rows, _ = learn.split(ft.build_features(clean(read_drop_folder(spark, drop))))
+    layers.save_model(learn.train(train_rows, **STUMP), model)
+    _streamed(spark, drop, with_scores(model, path, _append, incremental.read_gold), 2)
+    rows = read_dated(spark, path)
+    return rows.select(BATCH, TIME, TARGET, F.round("prediction", 6).alias("prediction"))
+
+
+@query(
+    "S6_archive",
+    dropped_sql(
+        "raw",
+        "SELECT batch_id, count(DISTINCT source_file) AS archived, 0::BIGINT AS remaining FROM raw GROUP BY batch_id "
+        "UNION ALL SELECT 'run=unreadable_combined', 0, 1",
+    ),
+)
+def _(spark, sf_dir):
+    """Files per batch in the archive and in the drop folder after the last trigger; one file is unreadable."""
+    drop, archive, checkpoint = _drop_by_batch(spark, sf_dir), work_path(spark, "archive"), work_path(spark, "stream")
+    events = fx.events(spark, sf_dir).agg(F.count("*").cast("string").alias("no role"))
+    events.coalesce(1).write.options(header=True).csv(f"{drop}/run=unreadable")
+    out = _streamed(spark, drop, None, 2, checkpoint=checkpoint, archive_dir=archive)
+    archive_landed(spark, drop, out, checkpoint, archive)
+
+    def listed(folder: str) -> DataFrame:
+        files = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.csv").load(folder)
+        name = relative_name(F.col("_metadata.file_path"), folder)
+        return files.select(cl.derive_batch_id(name).alias(BATCH), F.lit(folder == archive).alias("away"))
+
+    both = listed(archive).unionByName(listed(drop))
+    return both.groupBy(BATCH).agg(F.count_if("away").alias("archived"), F.count_if(~F.col("away")).alias("remaining"))
+
+
+@query(
+    "M3_fit_and_score_stump",
     sql_over(
         "predictions",
         'SELECT batch_id, "timestamp", '
@@ -774,6 +870,26 @@ def _(spark, sf_dir):
     return monitor.latest_n(fx.predictions(spark, sf_dir), FEW_ROWS)
 
 
+def _stored_newest(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """The newest predictions, out of a table stored by batch and day."""
+    path = work_path(spark, "dated")
+    write_dated(fx.predictions(spark, sf_dir), path)
+    return newest(spark, path, n)
+
+
+@query("D1_latest_n_by_days", sql_over("recent", "SELECT * FROM recent"))
+def _(spark, sf_dir):
+    return _stored_newest(spark, sf_dir, monitor.LATEST_ROWS)
+
+
+@query(
+    "D1_latest_n_by_days_of_more",
+    sql_over("predictions", f"{fx.recent_sql(FEW_ROWS).strip().removeprefix('recent AS (').removesuffix(')')}"),
+)
+def _(spark, sf_dir):
+    return _stored_newest(spark, sf_dir, FEW_ROWS)
+
+
 NEWEST = '(SELECT * FROM recent ORDER BY "timestamp" DESC, batch_id DESC LIMIT 1)'
 
 
@@ -868,11 +984,9 @@ def _(spark, sf_dir):
     )
 
 
-@query(
-    "D10_monitor_snapshot",
-    sql_over(
-        "recent",
-        f"""SELECT l.latest_time, l.temperature_c, l.ph_level, l.actual_cp, l.prediction, l.in_range, l.status,
+SNAPSHOT_SQL = sql_over(
+    "recent",
+    f"""SELECT l.latest_time, l.temperature_c, l.ph_level, l.actual_cp, l.prediction, l.in_range, l.status,
   a.avg_error, a.avg_error < 50 AS error_ok, m.rmse, m.r2, a.n_batches, a.rows_shown
 FROM (SELECT "timestamp" AS latest_time, {half_up('temperature_c', 1)} AS temperature_c,
         {half_up('ph_level', 2)} AS ph_level, {half_up(TARGET, 1)} AS actual_cp, {ALERT_SQL}
@@ -880,8 +994,16 @@ FROM (SELECT "timestamp" AS latest_time, {half_up('temperature_c', 1)} AS temper
      (SELECT {half_up('avg(error)', 2)} AS avg_error,
         count(DISTINCT batch_id) AS n_batches, count(*) AS rows_shown FROM recent) a,
      (SELECT {R2_SQL} AS r2, round(sqrt(avg(pow({TARGET} - prediction, 2))), 6) AS rmse FROM predictions) m""",
-    ).replace("LIMIT 5000", f"LIMIT {FEW_ROWS}"),
 )
+
+
+@query("D10_monitor_snapshot", SNAPSHOT_SQL)
+def _(spark, sf_dir):
+    predictions = fx.predictions(spark, sf_dir)
+    return monitor.monitor_snapshot(monitor.latest_n(predictions), predictions)
+
+
+@query("D10_monitor_snapshot_of_few", SNAPSHOT_SQL.replace("LIMIT 5000", f"LIMIT {FEW_ROWS}"))
 def _(spark, sf_dir):
     predictions = fx.predictions(spark, sf_dir)
     return monitor.monitor_snapshot(monitor.latest_n(predictions, FEW_ROWS), predictions)

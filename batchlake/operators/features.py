@@ -132,9 +132,8 @@ def positive_target(df: DataFrame, col: str = TARGET) -> DataFrame:
     return df.filter(is_positive(F.col(col)))
 
 
-def engineer(df: DataFrame, profile: BatchProfile | None = None) -> DataFrame:
-    """All engineered columns on all rows; nothing dropped."""
-    profile = profile or profile_batches(df)
+def row_exprs() -> dict[str, WindowExpr]:
+    """The engineered columns that depend on neighbouring rows only, the target included."""
     exprs: dict[str, WindowExpr] = {}
     for col, prefix in PREFIX.items():
         exprs[f"{prefix}_rolling_avg_{ROLLING_BACK}"] = rolling_expr(col)
@@ -143,9 +142,24 @@ def engineer(df: DataFrame, profile: BatchProfile | None = None) -> DataFrame:
     for col, prefix in PREFIX.items():
         exprs[f"{prefix}_rate_change"] = rate_expr(col)
     exprs[TARGET] = lead_expr("viscosity_cp", TARGET_STEPS)
-    back = max(ROLLING_BACK, *[steps for _, steps in LAGS.values()])
+    return exprs
+
+
+#: Rows before and after a row that its engineered columns look at.
+ROWS_BACK = max(ROLLING_BACK, *[steps for _, steps in LAGS.values()])
+ROWS_AHEAD = TARGET_STEPS
+
+
+def engineer_rows(df: DataFrame, profile: BatchProfile | None = None) -> DataFrame:
+    """``row_exprs`` on all rows."""
+    return over_batches(df, row_exprs(), ROWS_BACK, ROWS_AHEAD, profile or profile_batches(df))
+
+
+def engineer(df: DataFrame, profile: BatchProfile | None = None) -> DataFrame:
+    """All engineered columns on all rows; nothing dropped."""
+    profile = profile or profile_batches(df)
     bounds = {"batch_start": F.min("batch_time_mins"), "batch_end": F.max("batch_time_mins")}
-    return batch_progress(over_batches(df, exprs, back, TARGET_STEPS, profile, bounds))
+    return batch_progress(over_batches(df, row_exprs(), ROWS_BACK, ROWS_AHEAD, profile, bounds))
 
 
 def build_features(silver: DataFrame, profile: BatchProfile | None = None) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from batchlake.functions.schema import BATCH
+from batchlake.operators.clean import observed
 
 
 def write_layer(
@@ -19,16 +20,18 @@ def write_layer(
 ) -> None:
     """Write Parquet by batch, replacing only the batches present in ``df``.
 
-    ``batches`` names all that ``df`` is about. Their old rows go first, so that a batch that
-    has none any more does not keep them; if the write then fails, repeat it.
+    ``batches`` names all that ``df`` is about; those of them without a row lose what the layer
+    has of them. That is done last, so a reader never misses a batch that is being
+    replaced, and a write that fails leaves the old rows.
 
     ``rebalance`` gathers each batch in few tasks first, so that a batch does
     not get one small file per task; batches beyond the advisory partition size
     are still spread over several tasks.
     """
-    if batches:
-        drop_batches(df.sparkSession, path, batches)
     cols = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
+    written = Observation()
+    if batches:  # the names are on the driver already
+        df = df.observe(written, F.collect_set(F.col(BATCH).cast("string")).alias("batches"))
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in cols])
     (
@@ -37,6 +40,8 @@ def write_layer(
         .partitionBy(*cols)
         .parquet(path)
     )
+    if batches:
+        drop_batches(df.sparkSession, path, sorted(set(batches) - set(observed(written, "batches") or [])))
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -49,24 +54,53 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(root)
 
 
-def drop_batches(spark: SparkSession, path: str, batches: list[str]) -> None:
-    """Remove the folders of some batches, through the file system that the path names."""
+def _folder(spark: SparkSession, root, parts: dict[str, object]):
+    """Folder of a partition below ``root``, as Spark names it."""
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    below = "/".join(f"{name}={escape(str(value))}" for name, value in parts.items())
+    return spark._jvm.org.apache.hadoop.fs.Path(root, below)
+
+
+def drop_partitions(spark: SparkSession, path: str, partitions: list[dict[str, object]]) -> None:
+    """Remove the folders of some partitions, through the file system that the path names."""
     root, files = _file_system(spark, path)
-    for name in batches:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(root, f"{BATCH}={escape(name)}")
+    for parts in partitions:
+        folder = _folder(spark, root, parts)
         if files.exists(folder):
             files.delete(folder, True)
 
 
-def drop_files(spark: SparkSession, path: str, names: list[tuple[str, str]]) -> None:
-    """Remove the folders of some (batch, source file) of a layer stored by both."""
-    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+def has_partition(spark: SparkSession, path: str, parts: dict[str, object]) -> bool:
     root, files = _file_system(spark, path)
-    for batch, name in names:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(root, f"{BATCH}={escape(batch)}/source_file={escape(name)}")
-        if files.exists(folder):
-            files.delete(folder, True)
+    return files.exists(_folder(spark, root, parts))
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders right below a folder."""
+    root, files = _file_system(spark, path)
+    return sorted(status.getPath().getName() for status in files.listStatus(root)) if files.exists(root) else []
+
+
+def move_file(spark: SparkSession, path: str, target: str) -> bool:
+    """Move a file, over an older one of that name; False if it is not there (any more)."""
+    source, files = _file_system(spark, path)
+    goal, _ = _file_system(spark, target)
+    if not files.exists(source):
+        return False
+    files.mkdirs(goal.getParent())
+    files.delete(goal, False)
+    if not files.rename(source, goal):
+        raise OSError(f"{path} could not be moved to {target}")
+    return True
+
+
+def drop_batches(spark: SparkSession, path: str, batches: list[str]) -> None:
+    drop_partitions(spark, path, [{BATCH: name} for name in batches])
+
+
+def drop_files(spark: SparkSession, path: str, names: list[tuple[str, str]]) -> None:
+    """Remove some (batch, source file) of a layer stored by both."""
+    drop_partitions(spark, path, [{BATCH: batch, "source_file": name} for batch, name in names])
 
 
 def read_layer(

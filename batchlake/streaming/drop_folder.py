@@ -13,18 +13,30 @@ instead of being carried as stream state.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from batchlake.functions.schema import BATCH, BRONZE_SCHEMA, SILVER_SCHEMA, with_extra
 from batchlake.operators.clean import derive_batch_id
 from batchlake.plans.medallion import build_gold, build_silver
-from batchlake.sources.layers import drop_batches, drop_files, exists, read_layer, write_layer
+from batchlake.session import work_path
+from batchlake.sources.layers import (
+    drop_batches,
+    drop_files,
+    drop_partitions,
+    exists,
+    has_partition,
+    move_file,
+    names_in,
+    read_layer,
+    write_layer,
+)
 from batchlake.sources.raw_text import read_raw_text, relative_name
 
 MAX_FILES_PER_TRIGGER = 1_000
@@ -40,11 +52,12 @@ MALFORMED = "[MALFORMED_CHARACTER_CODING"
 # Columns of Spark's binaryFile source.
 FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 REJECTED_SCHEMA = f"{BATCH} string, source_file string, reason string"
+LEDGER_SCHEMA = f"path string, source_file string, {BATCH} string, run string, trigger long"
 
 
 def layer_paths(out: str) -> dict[str, str]:
     base = out.rstrip("/")
-    return {name: f"{base}/{name}" for name in ("bronze", "silver", "gold", "rejected")}
+    return {name: f"{base}/{name}" for name in ("bronze", "silver", "gold", "rejected", "ledger")}
 
 
 def is_content_error(error: Exception) -> bool:
@@ -53,6 +66,13 @@ def is_content_error(error: Exception) -> bool:
     return MALFORMED in said or any(f"{RAISED} {start}" in said for start in CONTENT)
 
 
+def names_of(spark: SparkSession, files: list[str], root: str, batch_by: str) -> list[tuple[str, str]]:
+    """(batch, source file) of some files."""
+    name = relative_name(F.col("path"), root)
+    listed = spark.createDataFrame([(f,) for f in files], "path string")
+    return [tuple(r) for r in listed.select(derive_batch_id(name, batch_by).alias(BATCH), name.alias("source_file")).collect()]
+
+
 def land(
     spark: SparkSession, files: list[str], root: str, paths: dict[str, str], batch_by: str
 ) -> None:
@@ -80,7 +100,7 @@ def land(
 
 
 def retry_rejected(spark: SparkSession, folder: str, out: str, batch_by: str = "folder") -> dict[str, int]:
-    """Read the rejected files that are still below ``folder`` again, MAX_FILES_PER_TRIGGER at most.
+    """Read all rejected files that are still below ``folder`` again, MAX_FILES_PER_TRIGGER at a time.
 
     Call it while no stream writes to ``out``. Those that still cannot be read are rejected anew.
     """
@@ -89,22 +109,27 @@ def retry_rejected(spark: SparkSession, folder: str, out: str, batch_by: str = "
     if not exists(spark, paths["rejected"]):
         return none
     rejected = read_layer(spark, paths["rejected"], REJECTED_SCHEMA)
-    named = rejected.select(BATCH, "source_file").distinct().orderBy(BATCH, "source_file")
-    found = {}
-    for row in named.toLocalIterator():
+    named = rejected.select(BATCH, "source_file").distinct()
+    counts, page = dict(none), {}
+    copy = work_path(spark, "rejected")  # the layer changes on the way
+    named.write.parquet(copy)
+    for row in spark.read.schema(named.schema).parquet(copy).orderBy(BATCH, "source_file").toLocalIterator():
         path = f"{folder.rstrip('/')}/{row['source_file']}"
-        if len(found) < MAX_FILES_PER_TRIGGER and exists(spark, path):
-            found[path] = row
-    if not found:
-        return none
-    batches = sorted({row[BATCH] for row in found.values()})
-    counts = ingest_files(spark, list(found), batches, folder, out, batch_by)
-    bronze = read_layer(spark, paths["bronze"], BRONZE_SCHEMA) if exists(spark, paths["bronze"]) else None
-    if bronze is not None:
-        read = bronze.filter(F.col(BATCH).isin(batches)).select(BATCH, "source_file").distinct()
-        read = {(row[BATCH], row["source_file"]) for row in read.filter(F.col("source_file").isin([r["source_file"] for r in found.values()])).collect()}
-        drop_files(spark, paths["rejected"], [row for row in map(tuple, found.values()) if row in read])
-    return counts
+        if exists(spark, path):
+            page[path] = row
+        if len(page) >= MAX_FILES_PER_TRIGGER:
+            counts = _read_again(spark, page, folder, out, batch_by, counts)
+            page = {}
+    return _read_again(spark, page, folder, out, batch_by, counts) if page else counts
+
+
+def _read_again(spark: SparkSession, page: dict[str, Row], folder: str, out: str, batch_by: str, counts: dict[str, int]) -> dict[str, int]:
+    """Ingest some rejected files; those that can be read now are no longer rejected."""
+    paths = layer_paths(out)
+    now = ingest_files(spark, list(page), sorted({row[BATCH] for row in page.values()}), folder, out, batch_by)
+    read = [tuple(row) for row in page.values() if has_partition(spark, paths["bronze"], {BATCH: row[BATCH], "source_file": row["source_file"]})]
+    drop_files(spark, paths["rejected"], read)
+    return {name: counts[name] + now[name] for name in counts}
 
 
 def ingest_files(
@@ -127,6 +152,46 @@ def ingest_files(
     return counts
 
 
+def _run_name(checkpoint: str) -> str:
+    """What tells the triggers of one checkpoint from those of another."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def _note_landed(spark: SparkSession, files: list[str], root: str, out: str, batch_by: str, checkpoint: str, trigger_id: int) -> None:
+    """Enter the files of a trigger that have reached the raw layer in the ledger.
+
+    A replayed trigger writes the same lines. Rejected files are not entered: they stay.
+    """
+    paths = layer_paths(out)
+    named = zip(files, names_of(spark, files, root, batch_by))
+    rows = [(path, name, batch) for path, (batch, name) in named if has_partition(spark, paths["bronze"], {BATCH: batch, "source_file": name})]
+    if rows:
+        noted = spark.createDataFrame(rows, f"path string, source_file string, {BATCH} string")
+        noted = noted.withColumns({"run": F.lit(_run_name(checkpoint)), "trigger": F.lit(trigger_id).cast("long")})
+        write_layer(noted.coalesce(1), paths["ledger"], ["run", "trigger"], rebalance=False)
+
+
+def archive_landed(spark: SparkSession, folder: str, out: str, checkpoint: str, archive_dir: str) -> int:
+    """Move files to ``archive_dir`` whose trigger the stream has committed; returns how many.
+
+    Driven by the ledger and the stream's commit log, so a file whose trigger can still be
+    replayed is never moved. Files keep their place below the drop folder. A move that was
+    cut off is done the next time; a trigger whose files are all moved leaves the ledger.
+    """
+    paths = layer_paths(out)
+    committed = [int(name) for name in names_in(spark, f"{checkpoint.rstrip('/')}/commits") if name.isdigit()]
+    if not committed or not exists(spark, paths["ledger"]):
+        return 0
+    run, last, moved = _run_name(checkpoint), max(committed), 0
+    due = read_layer(spark, paths["ledger"], LEDGER_SCHEMA).filter((F.col("run") == run) & (F.col("trigger") <= last))
+    triggers = set()
+    for row in due.toLocalIterator():
+        moved += move_file(spark, f"{folder.rstrip('/')}/{row['source_file']}", f"{archive_dir.rstrip('/')}/{row['source_file']}")
+        triggers.add(row["trigger"])
+    drop_partitions(spark, paths["ledger"], [{"run": run, "trigger": t} for t in triggers])
+    return moved
+
+
 def ingest_stream(
     spark: SparkSession,
     folder: str,
@@ -137,13 +202,18 @@ def ingest_stream(
     archive_dir: str | None = None,
     max_files: int = MAX_FILES_PER_TRIGGER,
     on_counts: Callable[[int, dict[str, int]], None] | None = None,
+    ingest: Callable[..., dict[str, int]] | None = None,
 ) -> StreamingQuery:
     """Start ingestion of ``folder`` into layers below ``out``.
 
+    ``ingest`` takes the files of a trigger; ``ingest_files`` by default, which rebuilds the
+    batches they belong to. ``incremental.append_files`` recomputes new rows and their neighbours.
+
     ``trigger`` is passed to the stream, ``{"availableNow": True}`` by default;
     ``{"processingTime": "2 seconds"}`` keeps watching. ``archive_dir`` moves
-    files away once a later trigger has run. ``max_files`` bounds a trigger and
-    with it the list of file and batch names handled on the driver.
+    files away whose trigger has been committed, at the start of a later trigger; call
+    ``archive_landed`` when the stream has stopped for those of the last one. ``max_files``
+    bounds a trigger and with it the list of file and batch names handled on the driver.
     """
     reader = (
         spark.readStream.format("binaryFile")
@@ -152,9 +222,6 @@ def ingest_stream(
         .option("pathGlobFilter", "*.[cC][sS][vV]")
         .option("maxFilesPerTrigger", str(max_files))
     )
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-
     # names only: the content column is pruned from the scan
     listed = F.col("_metadata.file_path")
     found = reader.load(folder).select(
@@ -164,9 +231,11 @@ def ingest_stream(
 
     def on_trigger(batch: DataFrame, trigger_id: int) -> None:
         names = batch.collect()
+        if archive_dir:
+            archive_landed(spark, folder, out, checkpoint, archive_dir)
         if not names:
             return
-        counts = ingest_files(
+        counts = (ingest or ingest_files)(
             spark,
             [row["path"] for row in names],
             sorted({row[BATCH] for row in names}),
@@ -174,6 +243,8 @@ def ingest_stream(
             out,
             batch_by,
         )
+        if archive_dir:
+            _note_landed(spark, [row["path"] for row in names], folder, out, batch_by, checkpoint, trigger_id)
         if on_counts:
             on_counts(trigger_id, counts)
 

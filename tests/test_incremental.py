@@ -1,0 +1,148 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from batchlake.functions.schema import BATCH, GOLD_SCHEMA, SILVER_SCHEMA, TIME
+from batchlake.operators.features import build_features
+from batchlake.plans.medallion import clean
+from batchlake.sources.layers import exists
+from batchlake.sources.raw_text import read_drop_folder
+from batchlake.streaming import incremental as inc
+from batchlake.streaming.drop_folder import ingest_stream
+from test_sources import put, row, text_of
+
+CHUNK = 1800  # half an hour, 30 rows
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, tmp_path)
+
+
+class Lake:
+    """A drop folder, an incremental lake, and the plain plan over all files of the folder."""
+
+    def __init__(self, spark, tmp_path):
+        self.spark, self.drop, self.out = spark, tmp_path / "drop", str(tmp_path / "lake")
+
+    def put(self, name, rows):
+        put(self.drop / name, text_of(rows, ","), "utf-8")
+        return name
+
+    def append(self, *names):
+        files = [str(self.drop / n) for n in names]
+        batches = sorted({n.split("/")[0] + "_combined" for n in names})
+        return inc.append_files(self.spark, files, batches, str(self.drop), self.out, "folder", CHUNK)
+
+    def check(self):
+        silver = clean(read_drop_folder(self.spark, str(self.drop)))
+        names = [c for c in SILVER_SCHEMA.names]
+        assert rows(inc.read_silver(self.spark, self.out), names) == rows(silver, names)
+        gold = inc.read_gold(self.spark, self.out)
+        want = build_features(silver)
+        assert set(GOLD_SCHEMA.names) <= set(gold.columns)
+        assert rows(gold, GOLD_SCHEMA.names) == rows(want, GOLD_SCHEMA.names)
+        return gold
+
+
+def rows(df, names):
+    return sorted(str(tuple(r)) for r in df.select(*names).collect())
+
+
+def test_appended_rows_rewrite_their_neighbourhood_only(lake):
+    """Each trigger adds two hours; what it writes does not grow with the batch."""
+    written = []
+    for k in range(4):
+        counts = lake.append(lake.put(f"run/f{k}.csv", [row(i) for i in range(120 * k, 120 * k + 120)]))
+        written.append((counts["rows_in"], counts["readings_written"], counts["features_written"]))
+    assert all(w[0] == 120 and w[1] <= 180 for w in written)
+    assert max(w[2] for w in written[1:]) <= 120 + 2 * 30 and written[2] == written[3]
+    gold = lake.check()
+    assert gold.count() == 480 - 20  # ten rows without a lag, ten without a target
+
+
+def test_late_rows_repair_their_neighbourhood(lake):
+    """Rows that come days late, before all others, between them and over them."""
+    early = [row(i) for i in range(300, 600) if i not in (411, 412, 430)]
+    lake.append(lake.put("run/a.csv", early))
+    lake.append(lake.put("run/b.csv", [row(i) for i in range(900, 960)]))
+    late = lake.append(lake.put("run/late.csv", [row(411), row(412), row(430), row(3), row(700)]))
+    assert late["features_written"] < 300
+    lake.check()
+    # a file that sorts before the others wins where times are equal, one behind them does not
+    changed = [[*r[:1], "7", *r[2:]] for r in (row(415), row(950))]
+    lake.append(lake.put("run/0first.csv", changed[:1]), lake.put("run/zlast.csv", changed[1:]))
+    gold = lake.check()
+    assert gold.filter("batch_time_mins = 7").count() == 1
+
+
+def test_bounds_can_shrink(lake):
+    """The row that held the batch's end is replaced by one with a smaller time."""
+    lake.append(lake.put("run/m.csv", [row(i) for i in range(80)] + [[row(80)[0], "5000", *row(80)[2:]]]))
+    assert lake.check().agg(F.max("batch_end")).first()[0] == 5000
+    lake.append(lake.put("run/a.csv", [row(80)]))
+    assert lake.check().agg(F.max("batch_end")).first()[0] == 81
+
+
+def test_a_file_that_comes_again_replaces_what_it_was(lake):
+    lake.append(lake.put("run/a.csv", [row(i) for i in range(100)]), lake.put("other/a.csv", [row(i) for i in range(40)]))
+    lake.append(lake.put("run/b.csv", [row(i) for i in range(100, 200)]))
+    before = lake.check().count()
+    assert lake.append("run/b.csv")["rows_in"] == 200  # a replay
+    assert lake.check().count() == before
+    lake.append(lake.put("run/a.csv", [row(i) for i in range(90, 100)]))
+    assert lake.check().filter(F.col(BATCH) == "run_combined").count() == 110 - 20
+    lake.append(lake.put("other/a.csv", [row(0)[:1] + ["0"] * 6]))
+    assert lake.check().filter(F.col(BATCH) == "other_combined").count() == 0
+
+
+def test_any_order_of_small_triggers_equals_one_big_one(spark, tmp_path):
+    rng = random.Random(3)
+    names, lakes = [], []
+    for k in range(2):
+        lakes.append(Lake(spark, tmp_path / str(k)))
+    for batch in ("x", "y"):
+        for k in range(2):
+            at = rng.randrange(0, 200)
+            part = [row(i) for i in range(at, at + 90) if rng.random() < 0.8]
+            rng.shuffle(part)
+            for lake in lakes:
+                name = lake.put(f"{batch}/f{k}.csv", part)
+            names.append(name)
+    lakes[0].append(*names)
+    for name in names[::-1]:
+        lakes[1].append(name)
+    got = [rows(lake.check(), GOLD_SCHEMA.names) for lake in lakes]
+    assert got[0] == got[1]
+
+
+def test_as_a_stream(lake, tmp_path):
+    for k in range(2):
+        lake.put(f"run/f{k}.csv", [row(i) for i in range(50 * k, 50 * k + 50)])
+    counts = []
+    stream = ingest_stream(
+        lake.spark, str(lake.drop), lake.out, str(tmp_path / "checkpoint"), max_files=1, ingest=inc.append_files,
+        on_counts=lambda _, c: counts.append(c["rows_in"]),
+    )
+    stream.awaitTermination(200)
+    assert counts == [50, 50]
+    lake.check()
+
+
+def test_nothing_readable(lake):
+    put(lake.drop / "run/bad.csv", "Foo,Bar\n1,2\n", "utf-8")
+    assert lake.append("run/bad.csv")["rows_in"] == 0
+    assert exists(lake.spark, inc.incremental_paths(lake.out)["rejected"])
+
+
+def test_neighbourhood_spans_short_chunks(spark):
+    """Chunks of few rows: the window reaches over several of them."""
+    chunks = spark.createDataFrame([(c, n, "b") for c, n in enumerate([50, 4, 4, 30, 4, 4, 4, 50, 50])], f"{inc.CHUNK} long, rows long, {BATCH} string")
+    touched = spark.createDataFrame([(4, "b")], f"{inc.CHUNK} long, {BATCH} string")
+    got = {r[inc.CHUNK]: r.affected for r in inc.neighbourhood(chunks, touched).collect()}
+    assert [c for c, a in got.items() if a] == [3, 4, 5, 6, 7]  # fewer than ten rows lie between
+    assert {c for c, a in got.items() if not a} == {0, 1, 2, 8}  # eight rows lie between 0 and 3
+    assert TIME in inc.READINGS_SCHEMA.names
