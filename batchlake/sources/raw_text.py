@@ -2,22 +2,30 @@
 
 Files up to ``WHOLE_FILE_BYTES`` are read whole, one row per file, and decoded
 exactly. Bigger files go through the line reader, which splits them over many
-tasks; their header is looked up per file. Which files are big is known from the
-listing alone.
+tasks; their header is looked up per file, with whether a line leaves a quote open or a
+UTF-16 character is cut. Such files alone pay for joining lines again (``rejoin``). Which
+files are big is known from the listing alone.
 
-A line break inside a quoted field raises, naming the file.
+A file without a byte-order mark is UTF-16 if its zero bytes say so, else UTF-8. The
+separator is the mark that cuts the first lines into equally many cells.
+
+What cannot be read (a missing column, a quote that is never closed) raises, naming the file,
+or with ``on_error="mark"`` gives one row for the file with the ``problem``.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from batchlake.functions.cells import evaluate_once
 from batchlake.functions.schema import BATCH, BOM_CHARS, REQUIRED_ROLES, ROLES, role_column
 from batchlake.operators.clean import derive_batch_id
+from batchlake.session import work_path
+from batchlake.sources import rejoin
+from batchlake.sources.rejoin import ends_open, fields_pattern, of_mark
 
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 BROADCAST_FILES = 50_000
@@ -29,10 +37,11 @@ UTF8_BOM = "EFBBBF"
 LINE_FEED = "\n"
 #: A record without text, as hex: white space of one or two bytes behind a byte-order mark.
 BLANK_RECORD = "^(FFFE|FEFF|EFBBBF)?(00|0D|20|09)*$"
-#: A cell that begins with a quote and does not end in this line.
-OPEN_QUOTE = r'(?:^|[\t;|,]) *"(?:[^"]|"")*+$'
 SEPARATORS = ("\t", ";", "|", ",")
 RETURN = "\r"
+#: Lines that the separator is told from, bytes that the encoding is told from, and lines that a
+#: quoted cell may span in a big file.
+SAMPLE_LINES, SAMPLE_BYTES, MOST_LINES = 20, 4096, 10_000
 
 _LISTING = {"recursiveFileLookup": "true", "pathGlobFilter": "*.[cC][sS][vV]"}
 
@@ -66,17 +75,29 @@ def without_return(line: Column) -> Column:
 # -- fields --------------------------------------------------------------------
 
 
-def separator_of(header: Column) -> Column:
-    """Tab, semicolon, bar or comma: the one the header has most of."""
+def separator_of(header: Column, sample: Column) -> Column:
+    """The mark that cuts the header and the other first lines into equally many cells, and most.
+
+    Without such a mark the one that cuts the header into most cells. Quotes are heeded; a line
+    with an odd number of them, a part of a longer record, does not count.
+    """
+    whole = F.filter(sample, lambda x: (F.length(x) - F.length(F.replace(x, F.lit('"'), F.lit("")))) % 2 == 0)
+
+    def cells(mark: str, lines: Column) -> Column:
+        return F.transform(lines, lambda x: F.size(fields_of(x, F.lit(mark))))
 
-    def times(mark: str) -> Column:
-        return F.length(header) - F.length(F.replace(header, F.lit(mark), F.lit("")))
+    def first_of(scores: dict[str, Column], otherwise: Column) -> Column:
+        most = F.greatest(*scores.values())
+        choice = F.when(most <= 1, otherwise)
+        for mark, score in scores.items():
+            choice = choice.when(score == most, mark)
+        return choice
 
-    most = F.greatest(*[times(mark) for mark in SEPARATORS])
-    choice = F.when(times(SEPARATORS[0]) == most, SEPARATORS[0])
-    for mark in SEPARATORS[1:]:
-        choice = choice.when(times(mark) == most, mark)
-    return F.when(most > 0, choice).otherwise(",")
+    def even(counts: Column) -> Column:
+        return F.when(F.array_min(counts) == F.array_max(counts), F.array_max(counts)).otherwise(1)
+
+    by_header = first_of({m: F.size(fields_of(header, F.lit(m))) for m in SEPARATORS}, F.lit(","))
+    return first_of({m: F.coalesce(even(cells(m, whole)), F.lit(1)) for m in SEPARATORS}, by_header)
 
 
 def fields_of(line: Column, separator: Column) -> Column:
@@ -97,12 +118,11 @@ def fields_of(line: Column, separator: Column) -> Column:
     return F.when(line.contains('"'), unquoted).otherwise(F.split(line, mark))
 
 
-def layout_of(header: Column, source: Column) -> Column:
-    """Where each role sits in a file, as a struct; fails naming the file and role.
+def layout_of(header: Column, separator: Column, source: Column) -> Column:
+    """Where each role sits in a file, as a struct; ``problem`` names the file and a missing role.
 
     ``extra_at``/``extra_names`` list the columns without a role of their own.
     """
-    separator = separator_of(header)
     names = F.transform(
         fields_of(header, separator),
         lambda name: F.trim(F.regexp_replace(name, BOM_CHARS, "")),
@@ -111,10 +131,7 @@ def layout_of(header: Column, source: Column) -> Column:
 
     def at(role: str) -> Column:
         found = F.array_position(roles, role).cast("int")
-        if role not in REQUIRED_ROLES:
-            return F.when(found > 0, found)
-        problem = F.concat(F.lit(f"no column for {role} in "), source)
-        return F.when(found > 0, found).otherwise(F.raise_error(problem).cast("int"))
+        return F.when(found > 0, found)
 
     spare = F.filter(
         F.sequence(F.lit(1), F.size(names)),
@@ -127,8 +144,10 @@ def layout_of(header: Column, source: Column) -> Column:
             F.array_position(names, F.element_at(names, i)) == i, F.element_at(names, i)
         ).otherwise(F.concat_ws(".", F.element_at(names, i), i.cast("string"))),
     )
+    missing = [F.when(at(role).isNull(), F.concat(F.lit(f"no column for {role} in "), source)) for role in REQUIRED_ROLES]
     return F.struct(
         separator.alias("separator"),
+        F.coalesce(*missing).alias("problem"),
         *[at(role).alias(role) for role in ROLES],
         spare.alias("extra_at"),
         spare_names.alias("extra_names"),
@@ -136,14 +155,8 @@ def layout_of(header: Column, source: Column) -> Column:
 
 
 def role_cells(lines: DataFrame) -> DataFrame:
-    """Lines with their file's layout to one string column per role.
-
-    A quoted cell that a line leaves open would make two wrong rows; it raises instead.
-    """
-    broken = F.raise_error(F.concat(F.lit("a line break inside quotes in "), F.col("source_file")))
-    whole = F.when(F.col("line").rlike(OPEN_QUOTE), broken.cast("string")).otherwise(F.col("line"))
-    lines = evaluate_once(lines.withColumn("line", whole), ["line"])
-    split_up = lines.withColumn("_cells", fields_of(F.col("line"), F.col("layout.separator")))
+    """Lines with their file's layout to one string column per role; a line without one has a problem."""
+    split_up = lines.withColumn("_cells", F.when(F.col("problem").isNull(), fields_of(F.col("line"), F.col("layout.separator"))))
 
     def cell(at: Column) -> Column:
         return F.when(at.isNotNull(), F.get("_cells", at - 1))
@@ -158,47 +171,82 @@ def role_cells(lines: DataFrame) -> DataFrame:
         "block_start",
         "line_no",
         "source_file",
+        "problem",
     )
 
 
 # -- lines ---------------------------------------------------------------------
 
 
+def encoding_of(start: Column) -> Column:
+    """Name of a file's encoding from its first bytes: by its mark, else by where zero bytes stand.
+
+    Text of Latin letters and digits has a zero in most UTF-16 units, in the second byte of
+    little endian and the first of big endian; UTF-8 has none.
+    """
+    bom = F.hex(F.substring(start, 1, 2))
+    units = F.regexp_extract_all(F.hex(F.substring(start, 1, SAMPLE_BYTES)), F.lit("...."), F.lit(0))
+    low, high = (F.size(F.filter(units, test)) for test in (lambda u: u.endswith("00"), lambda u: u.startswith("00")))
+    often = F.size(units) * 0.3
+    return (
+        F.when(bom == UTF16_LE_BOM, "UTF-16LE")
+        .when(bom == UTF16_BE_BOM, "UTF-16BE")
+        .when((low > often) & (low > 3 * high), "UTF-16LE")
+        .when((high > often) & (high > 3 * low), "UTF-16BE")
+        .otherwise("UTF-8")
+    )
+
+
 def _whole_files(files: DataFrame, root: str) -> DataFrame:
-    """(source_file, block_start, line_no, line, layout) of files read in one piece."""
-    bom = F.hex(F.substring("content", 1, 2))
-    utf8_bom = F.hex(F.substring("content", 1, 3)) == UTF8_BOM
+    """(source_file, block_start, line_no, line, layout, problem) of files read in one piece."""
+    start = F.hex(F.substring("content", 1, 3))
+    marked = F.when(start == UTF8_BOM, 4).when(start.startswith(UTF16_LE_BOM) | start.startswith(UTF16_BE_BOM), 3).otherwise(1)
+    body = F.substring("content", marked, F.length("content"))
+    encoding = encoding_of(F.col("content"))
     text = (
-        F.when(bom.isin(UTF16_LE_BOM, UTF16_BE_BOM), F.decode("content", "UTF-16"))
-        .when(utf8_bom, F.expr("substring(content, 4)").cast("string"))
-        .otherwise(F.col("content").cast("string"))
+        F.when(encoding == "UTF-16LE", F.decode(body, "UTF-16LE"))
+        .when(encoding == "UTF-16BE", F.decode(body, "UTF-16BE"))
+        .otherwise(body.cast("string"))
     )
     named = files.select(
-        relative_name(F.col("_metadata.file_path"), root).alias("source_file"),
-        F.split(text, LINE_FEED).alias("lines"),
-    )
-    # the header is line 0 unless blank lines stand before it
-    blanks_first = F.array_position(F.transform("lines", lambda x: ~is_blank(x)), True) - 1
-    header_at = F.when(~is_blank(F.get("lines", F.lit(0))), 0).otherwise(blanks_first)
-    lines = evaluate_once(named, ["source_file", "lines"])
-    headed = lines.withColumn("header_at", header_at.cast("int")).withColumn(
-        "header", without_return(F.get("lines", F.col("header_at")))
+        relative_name(F.col("_metadata.file_path"), root).alias("source_file"), text.alias("text")
     )
-    headed = evaluate_once(headed, ["header_at", "header"]).filter("header_at >= 0")
-    laid_out = headed.withColumn("layout", layout_of(F.col("header"), F.col("source_file")))
-    exploded = evaluate_once(laid_out, ["layout"]).select(
-        "source_file", "layout", "header_at", F.posexplode("lines").alias("line_no", "line")
+    lines = evaluate_once(named, ["source_file", "text"]).withColumn("lines", F.split("text", LINE_FEED))
+    first = F.slice(F.filter("lines", lambda x: ~is_blank(x)), 1, SAMPLE_LINES)
+    sampled = evaluate_once(lines.withColumn("sample", F.transform(first, without_return)), ["lines", "sample"]).filter(F.size("sample") > 0)
+    marked_up = sampled.withColumn("separator", separator_of(F.get("sample", F.lit(0)), F.col("sample")))
+    marked_up = evaluate_once(marked_up, ["separator"])
+    # no line that begins outside quotes leaves one open: lines are records
+    plain = ~F.exists("lines", lambda x: ends_open(x, F.col("separator")))
+    records = F.when(plain, F.col("lines")).otherwise(F.regexp_extract_all("text", of_mark(F.col("separator"), fields_pattern), F.lit(1)))
+    cut = evaluate_once(marked_up.withColumn("records", records), ["records"])
+    # the header is record 0 unless blank lines stand before it
+    blanks_first = F.array_position(F.transform("records", lambda x: ~is_blank(x)), True) - 1
+    header_at = F.when(~is_blank(F.get("records", F.lit(0))), 0).otherwise(blanks_first)
+    headed = cut.withColumn("header_at", header_at.cast("int"))
+    headed = headed.withColumn("header", without_return(F.get("records", F.col("header_at"))))
+    headed = evaluate_once(headed, ["header_at", "header"])
+    unclosed = F.exists("records", lambda x: ends_open(x, F.col("separator")))
+    unclosed = F.when(unclosed, F.concat(F.lit("a quote is never closed in "), F.col("source_file")))
+    laid_out = headed.withColumn("layout", layout_of(F.col("header"), F.col("separator"), F.col("source_file")))
+    laid_out = evaluate_once(laid_out, ["layout"]).withColumn("problem", F.coalesce("layout.problem", unclosed))
+    # a file with a problem is one row
+    shown = F.when(F.col("problem").isNull(), F.col("records")).otherwise(F.slice("records", F.col("header_at") + 1, F.lit(1)))
+    exploded = evaluate_once(laid_out, ["problem"]).select(
+        "source_file", "layout", "header_at", "problem", F.posexplode(shown).alias("line_no", "line")
     )
-    return exploded.filter((F.col("line_no") > F.col("header_at")) & ~is_blank(F.col("line"))).select(
+    data = (F.col("line_no") > F.col("header_at")) & ~is_blank(F.col("line"))
+    return exploded.filter(F.col("problem").isNotNull() | data).select(
         "source_file",
         F.lit(0).cast("bigint").alias("block_start"),
         F.col("line_no").cast("bigint").alias("line_no"),
         without_return(F.col("line")).alias("line"),
         "layout",
+        "problem",
     )
 
 
-def _record_text(encoding: Column, first: Column, source: Column) -> Column:
+def _record_text(encoding: Column, first: Column, source: Column, data: Column | None = None, strict: bool = True) -> Column:
     """Text of a record cut at the byte 0A, whatever the encoding.
 
     A UTF-16 line feed is two bytes, so its 00 stays on a neighbouring record:
@@ -208,18 +256,20 @@ def _record_text(encoding: Column, first: Column, source: Column) -> Column:
     character shows in the length or edge bytes of the next record; that raises
     instead of giving wrong text.
     """
-    odd = F.length("bytes") % 2 == 1
-    starts_00 = F.hex(F.substring("bytes", 1, 1)) == "00"
-    ends_00 = F.hex(F.expr("substring(bytes, length(bytes), 1)")) == "00"
-    cut_wrong = F.raise_error(
-        F.concat(F.lit("a UTF-16 character with the byte 0A needs a whole-file read of "), source)
-    ).cast("string")
-    start = F.when(first, 3).otherwise(1)
+    data = F.col("bytes") if data is None else data
+    size = F.length(data)
+    odd = size % 2 == 1
+    marked = F.hex(F.substring(data, 1, 2)).isin(UTF16_LE_BOM, UTF16_BE_BOM)
+    starts_00 = F.hex(F.substring(data, 1, 1)) == "00"
+    ends_00 = F.hex(F.substring(data, size, F.lit(1))) == "00"
+    cut_wrong = F.lit(None).cast("string")
+    if strict:
+        cut_wrong = F.raise_error(F.concat(F.lit("a UTF-16 character with the byte 0A needs a whole-file read of "), source)).cast("string")
+    start = F.when(first & marked, 3).otherwise(1)
 
     def decoded(begin: Column, end: Column, charset: str) -> Column:
-        return F.decode(F.substring("bytes", begin, end - begin + 1), charset)
+        return F.decode(F.substring(data, begin, end - begin + 1), charset)
 
-    size = F.length("bytes")
     little = (
         F.when(first & ~odd, decoded(start, size, "UTF-16LE"))
         .when(~first & odd & starts_00, decoded(F.lit(2), size, "UTF-16LE"))
@@ -230,65 +280,107 @@ def _record_text(encoding: Column, first: Column, source: Column) -> Column:
         .when(~odd & ~ends_00, decoded(start, size, "UTF-16BE"))
         .otherwise(cut_wrong)
     )
+    utf8_bom = first & (F.hex(F.substring(data, 1, 3)) == UTF8_BOM)
     text = (
         F.when(encoding == "UTF-16LE", little)
         .when(encoding == "UTF-16BE", big)
-        .otherwise(F.col("bytes").cast("string"))
+        .otherwise(F.substring(data, F.when(utf8_bom, 4).otherwise(1), size).cast("string"))
+    )
+    return text
+
+
+def _heads(records: DataFrame) -> DataFrame:
+    """One row per file: encoding, header, separator, layout, and whether lines have to be joined again.
+
+    The first lines of a file leave the map side, and counts of what is odd in any of its lines.
+    """
+    source, size = F.col("source_file"), F.length("bytes")
+    first = records.filter("block_start = 0")
+    sample = first.filter(~F.hex("bytes").rlike(BLANK_RECORD))
+    order = Window.partitionBy("source_file").orderBy("line_no")
+    sample = sample.withColumn("_nth", F.row_number().over(order)).filter(F.col("_nth") <= SAMPLE_LINES)
+    sample = sample.groupBy("source_file").agg(F.array_sort(F.collect_list(F.struct("line_no", "bytes"))).alias("sample"))
+    start = first.groupBy("source_file").agg(
+        F.min_by(F.substring("bytes", 1, SAMPLE_BYTES), "line_no").alias("mark"), F.min("line_no").alias("first_at")
+    )
+    odd, quote = size % 2 == 1, F.lit('"')
+    starts_00, ends_00 = F.hex(F.substring("bytes", 1, 1)) == "00", F.hex(F.expr("substring(bytes, length(bytes), 1)")) == "00"
+    text = F.col("bytes").cast("string")
+    flags = records.groupBy("source_file").agg(
+        F.count_if(~(odd & starts_00)).alias("n_little"),
+        F.count_if(~((odd & ends_00) | (~odd & ~ends_00))).alias("n_big"),
+        F.bool_or(text.contains(quote)).alias("quotes"),
+        *[F.bool_or(ends_open(without_return(text), F.lit(m))).alias(f"open_{i}") for i, m in enumerate(SEPARATORS)],
+    )
+    known = start.join(sample, "source_file").join(flags, "source_file").withColumn("encoding", encoding_of(F.col("mark")))
+    lines = F.transform("sample", lambda r: _record_text(F.col("encoding"), r.line_no == F.col("first_at"), source, r.bytes, strict=False))
+    lines = F.transform(F.filter(lines, lambda x: x.isNotNull()), without_return)
+    known = evaluate_once(known.withColumn("lines", lines), ["lines"])
+    header = F.get("lines", F.lit(0))
+    known = evaluate_once(known.withColumn("separator", separator_of(header, F.col("lines"))), ["separator"])
+    little = F.col("encoding") == "UTF-16LE"
+    wide = F.col("encoding") != "UTF-8"
+    opened = F.when(F.col("separator") == SEPARATORS[0], F.col("open_0"))
+    for i, mark in enumerate(SEPARATORS[1:], 1):
+        opened = opened.when(F.col("separator") == mark, F.col(f"open_{i}"))
+    return known.select(
+        "source_file",
+        "first_at",
+        F.get("sample", F.lit(0)).line_no.alias("header_at"),
+        "encoding",
+        layout_of(header, F.col("separator"), source).alias("layout"),
+        # the first record of a little-endian file has no zero of a line feed ahead
+        (wide & F.when(little, F.col("n_little") > 1).otherwise(F.col("n_big") > 0)).alias("cut"),
+        F.when(wide, F.col("quotes")).otherwise(opened).alias("open"),
     )
-    return without_return(text)
 
 
 def _split_files(text: DataFrame, root: str, n_files: int) -> DataFrame:
     """The same columns for files read line by line, each file in many tasks.
 
     Lines are numbered per task and ordered within a file by (block_start,
-    line_no). The first block is read once more for the header; only its first
-    line leaves the map side.
+    line_no). The files are scanned once for their heads, and once for their rows.
     """
-    meta = F.col("_metadata")
+    spark, meta = text.sparkSession, F.col("_metadata")
     records = text.select(
         relative_name(meta["file_path"], root).alias("source_file"),
         meta["file_block_start"].alias("block_start"),
         F.monotonically_increasing_id().alias("line_no"),
         F.col("value").cast("binary").alias("bytes"),
+        meta["file_size"].alias("file_size"),
     )
-    written = ~F.hex("bytes").rlike(BLANK_RECORD)
-    start = (
-        records.filter("block_start = 0")
-        .groupBy("source_file")
-        .agg(
-            F.min_by(F.substring("bytes", 1, 3), "line_no").alias("mark"),
-            F.min("line_no").alias("first_at"),
-            F.min(F.when(written, F.struct("line_no", "bytes"))).alias("head"),
-        )
-        .filter("head IS NOT NULL")
-        .select("source_file", "mark", "first_at", F.col("head.line_no").alias("header_at"), F.col("head.bytes").alias("bytes"))
-    )
-    bom = F.hex(F.substring("mark", 1, 2))
-    encoding = F.when(bom == UTF16_LE_BOM, "UTF-16LE").when(bom == UTF16_BE_BOM, "UTF-16BE")
-    source = F.col("source_file")
-    heads = (
-        start.withColumn("encoding", F.coalesce(encoding, F.lit("UTF-8")))
-        .withColumn("header", _record_text(F.col("encoding"), F.col("header_at") == F.col("first_at"), source))
-        .select(
-            "source_file", "header_at", "encoding", layout_of(F.col("header"), source).alias("layout")
-        )
+    path, made = work_path(spark, "heads"), _heads(records)
+    made.write.parquet(path)
+    heads = spark.read.schema(made.schema).parquet(path)
+    again = heads.agg(F.bool_or("cut").alias("cut"), F.bool_or("open").alias("open")).first()
+
+    def headed(rows: DataFrame, heads: DataFrame) -> DataFrame:
+        return rows.join(F.broadcast(heads) if n_files <= BROADCAST_FILES else heads, "source_file")
+
+    def lines_of(rows: DataFrame) -> DataFrame:
+        """Lines of records, with their file's head."""
+        line = _record_text(F.col("encoding"), (F.col("block_start") == 0) & (F.col("line_no") == F.col("first_at")), F.col("source_file"))
+        not_data = (F.col("block_start") == 0) & (F.col("line_no") <= F.col("header_at"))
+        kept = rows.filter(~not_data & F.col("layout.problem").isNull())
+        return kept.select("source_file", "block_start", "line_no", line.alias("line"), "layout", "open")
+
+    good = headed(records, heads.filter(~F.col("cut") & ~F.col("open")))
+    rows = lines_of(good)
+    if again["cut"] or again["open"]:
+        odd = headed(records, heads.filter("cut or open")).select(*records.columns, "encoding", "cut", "open")
+        parts = ["source_file", "block_start", "line_no", "bytes"]
+        whole = odd.filter("not cut").select(*parts).unionByName(rejoin.characters(odd.filter("cut")).select(*parts))
+        lines = lines_of(headed(whole, heads))
+        joined = rejoin.quoted(lines.filter("open").withColumn("separator", F.col("layout.separator")).drop("layout", "open"), MOST_LINES)
+        joined = headed(joined, heads.select("source_file", "layout", "open")).select(*lines.columns)
+        rows = rows.unionByName(lines.filter("not open")).unionByName(joined)
+    rows = rows.filter(~is_blank(F.col("line"))).select(
+        "source_file", "block_start", "line_no", without_return(F.col("line")).alias("line"), "layout", F.lit(None).cast("string").alias("problem")
     )
-    if n_files <= BROADCAST_FILES:
-        heads = F.broadcast(heads)
-    not_data = (F.col("block_start") == 0) & (F.col("line_no") <= F.col("header_at"))
-    return (
-        records.join(heads, "source_file")
-        .filter(~not_data)
-        .select(
-            "source_file",
-            "block_start",
-            "line_no",
-            _record_text(F.col("encoding"), F.lit(False), source).alias("line"),
-            "layout",
-        )
-        .filter(~is_blank(F.col("line")))
+    bad = heads.filter("layout.problem is not null").select(
+        "source_file", F.lit(0).cast("bigint").alias("block_start"), F.col("header_at").alias("line_no"), F.lit("").alias("line"), "layout", "layout.problem"
     )
+    return rows.unionByName(bad)
 
 
 # -- reader --------------------------------------------------------------------
@@ -300,11 +392,13 @@ def read_raw_text(
     root: str | None = None,
     batch_by: str = "folder",
     whole_file_bytes: int = WHOLE_FILE_BYTES,
+    on_error: str = "raise",
 ) -> DataFrame:
     """All CSV rows below ``path`` as strings by role, with file and line.
 
     ``root`` is the drop folder that batch names are relative to (``path`` when
-    it is one folder).
+    it is one folder). With ``on_error="mark"`` a column ``problem`` is added; a file with a
+    problem gives one row that holds nothing else.
     """
     paths = [path] if isinstance(path, str) else list(path)
     root = root or paths[0]
@@ -320,7 +414,11 @@ def read_raw_text(
         )
         rows = rows.union(role_cells(_split_files(text, root, n_big)))
     batch = derive_batch_id(F.col("source_file"), batch_by).alias(BATCH)
-    return rows.select(*ROLES, "extra", "block_start", "line_no", batch, "source_file")
+    columns = [*ROLES, "extra", "block_start", "line_no"]
+    if on_error == "mark":
+        return rows.select(*columns, batch, "source_file", "problem")
+    raised = F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem")).cast("boolean")).otherwise(True)
+    return rows.filter(raised).select(*columns, batch, "source_file")
 
 
 def read_drop_folder(

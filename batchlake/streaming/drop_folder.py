@@ -46,7 +46,7 @@ REASON_CHARS = 2_000
 # What the reader says about content (in an error of ``raise_error``), and
 # Spark's own error for bytes that are no text of the file's encoding.
 RAISED = "[USER_RAISED_EXCEPTION]"
-CONTENT = ("no column for ", "a line break inside quotes in ", "a UTF-16 character with the byte 0A needs ")
+CONTENT = ("no column for ", "a quote is never closed in ", "a UTF-16 character with the byte 0A needs ")
 MALFORMED = "[MALFORMED_CHARACTER_CODING"
 
 # Columns of Spark's binaryFile source.
@@ -78,12 +78,13 @@ def land(
 ) -> None:
     """Write the raw rows of the files; those with content that cannot be read are kept as rejected.
 
-    All files go in one job. Only if that fails for their content are they halved until the
-    bad ones, at most as many as a trigger has files, stand alone.
+    All files are read once, with the problem of each that has one. Where Spark's own decoder
+    fails, the files are halved until the bad ones, at most as many as a trigger has, stand alone.
     """
+    scratch = work_path(spark, "landing")
     try:
-        raw = read_raw_text(spark, files, root=root, batch_by=batch_by)
-        write_layer(raw, paths["bronze"], [BATCH, "source_file"])
+        raw = read_raw_text(spark, files, root=root, batch_by=batch_by, on_error="mark")
+        raw.write.parquet(scratch)
     except (Py4JJavaError, PySparkException) as error:
         if not is_content_error(error):
             raise
@@ -92,11 +93,18 @@ def land(
             land(spark, files[:half], root, paths, batch_by)
             land(spark, files[half:], root, paths, batch_by)
             return
-        reason = str(error).strip()[:REASON_CHARS]
-        bad = spark.createDataFrame([(files[0], reason)], "path string, reason string")
-        name = relative_name(F.col("path"), root)
-        bad = bad.select(derive_batch_id(name, batch_by).alias(BATCH), name.alias("source_file"), "reason")
-        write_layer(bad, paths["rejected"], [BATCH, "source_file"])
+        ((batch, name),) = names_of(spark, files, root, batch_by)
+        _reject(spark.createDataFrame([(batch, name, str(error).strip()[:REASON_CHARS])], REJECTED_SCHEMA), paths)
+        return
+    rows = spark.read.schema(raw.schema).parquet(scratch)
+    write_layer(rows.filter("problem is null").drop("problem"), paths["bronze"], [BATCH, "source_file"])
+    bad = rows.filter("problem is not null").select(BATCH, "source_file", F.left("problem", F.lit(REASON_CHARS)).alias("reason"))
+    if not bad.isEmpty():
+        _reject(bad, paths)
+
+
+def _reject(bad: DataFrame, paths: dict[str, str]) -> None:
+    write_layer(bad, paths["rejected"], [BATCH, "source_file"])
 
 
 def retry_rejected(spark: SparkSession, folder: str, out: str, batch_by: str = "folder") -> dict[str, int]:

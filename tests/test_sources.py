@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 import random
 from pathlib import Path
 
@@ -106,24 +108,112 @@ def test_split_reader_orders_lines_within_a_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-@pytest.mark.parametrize("coding", [LE, BE])
-def test_split_reader_refuses_characters_it_would_cut(spark, tmp_path, coding):
-    rows = [row(0, "ਅ"), row(1), row(2)]
-    put(tmp_path / "a.csv", text_of(rows, "\t"), *coding)
-    whole = read_raw_text(spark, str(tmp_path))
-    assert "ਅ" in {r["extra"]["Operator"] for r in whole.collect()}
-    with pytest.raises(Exception, match="whole-file read"):
-        read_raw_text(spark, str(tmp_path), whole_file_bytes=0).collect()
+@pytest.fixture
+def tiny_splits(spark):
+    """Splits of about a hundred bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "101")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
-def test_a_line_break_in_quotes_raises_however_it_is_read(spark, tmp_path):
-    text = 'Time,Batch Time,R1_PH_R02,Note\n2024-01-05 08:00:00,1,7,"two\nlines"\n2024-01-05 08:01:00,2,7,5" pipe\n'
+@pytest.mark.parametrize("coding", [LE, BE])
+def test_characters_with_the_byte_0a(spark, tmp_path, tiny_splits, coding):
+    """U+010A and U+0A05 hold the byte, also side by side and at the ends of cells."""
+    names = ["ਅ", "Ċ", "ĊਅĊ", "xਅ", "Ċx", "ਊ", "਀", "plain", "ਊĊ\u0a0a"]
+    rows = [row(i, names[i % len(names)]) for i in range(40)]
+    put(tmp_path / "a.csv", text_of(rows, "\t"), *coding)
+    put(tmp_path / "b.csv", text_of(rows, "\t", newline="\n").rstrip("\n"), *coding)
+    want = sorted((r[1], r[6]) for r in rows)
+    for size in (1 << 20, 0):
+        got = read_raw_text(spark, str(tmp_path), whole_file_bytes=size)
+        for name in ("a.csv", "b.csv"):
+            own = got.filter(F.col("source_file") == name)
+            assert sorted((r["batch_time_mins"], r["extra"]["Operator"]) for r in own.collect()) == want, (size, name)
+
+
+def quoted_table(sep, n=30, seed=1):
+    """Rows with quotes, separators and line breaks in their last cell, as the csv module writes them."""
+    rng = random.Random(seed)
+    notes = ["plain", "two\nlines", 'say "hi"', f"a{sep}b", "x\n\ny", '"', '""\n"', f'"\n{sep}"', "end\n", f"{sep}\n{sep}", "", "1,2", 'q",\n"z']
+    rows = [[*row(i)[:6], rng.choice(notes)] for i in range(n)]
+    rows[0][6] = notes[1]
+    out = io.StringIO()
+    csv.writer(out, delimiter=sep, lineterminator="\n").writerows([HEADER, *rows])
+    read = list(csv.reader(io.StringIO(out.getvalue()), delimiter=sep))[1:]
+    return out.getvalue(), sorted((r[1], r[6]) for r in read)
+
+
+@pytest.mark.parametrize("sep", ["\t", ";", ",", "|"])
+def test_line_breaks_in_quotes_equal_the_csv_module(spark, tmp_path, tiny_splits, sep):
+    want = {}
+    for seed, coding in enumerate((("utf-8",), U8, LE, BE)):
+        text, want[f"f{seed}.csv"] = quoted_table(sep, 30, seed)
+        put(tmp_path / f"f{seed}.csv", text, *coding)
+    for size in (1 << 20, 0):
+        got = read_raw_text(spark, str(tmp_path), whole_file_bytes=size).collect()
+        for name, rows in want.items():
+            assert sorted((r["batch_time_mins"], r["extra"]["Operator"]) for r in got if r["source_file"] == name) == rows, (size, name)
+
+
+def test_a_long_cell_spans_several_splits(spark, tmp_path, tiny_splits):
+    note = "\n".join(f"line {i}" for i in range(200))
+    rows = [row(0), [*row(1)[:6], note], row(2), [*row(3)[:6], "a\nb"]]
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerows([HEADER, *rows])
+    put(tmp_path / "a.csv", out.getvalue(), "utf-8")
+    got = read_raw_text(spark, str(tmp_path), whole_file_bytes=0)
+    assert sorted((r["batch_time_mins"], r["extra"]["Operator"]) for r in got.collect()) == sorted((r[1], r[6]) for r in rows)
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path, monkeypatch):
+    from batchlake.sources import raw_text
+
+    text = 'Time,Batch Time,R1_PH_R02,Note\n2024-01-05 08:00:00,1,7,5" pipe\n2024-01-05 08:01:00,2,7,"open\n' + "x,1,2,3\n" * 30
     put(tmp_path / "a.csv", text, "utf-8")
+    monkeypatch.setattr(raw_text, "MOST_LINES", 20)
     for size in (0, 1 << 20):
-        with pytest.raises(Exception, match="line break inside quotes in a.csv"):
+        with pytest.raises(Exception, match="a quote is never closed in a.csv"):
             read_raw_text(spark, str(tmp_path), whole_file_bytes=size).collect()
 
 
+@pytest.mark.parametrize("size", [0, 1 << 20])
+def test_problems_as_rows(spark, tmp_path, size):
+    put(tmp_path / "good.csv", text_of([row(i) for i in range(5)], ","), "utf-8")
+    put(tmp_path / "bad.csv", "Foo,Bar\n1,2\n3,4\n", "utf-8")
+    got = read_raw_text(spark, str(tmp_path), whole_file_bytes=size, on_error="mark").collect()
+    bad = [r for r in got if r["problem"]]
+    assert len(got) == 6 and [r["source_file"] for r in bad] == ["bad.csv"]
+    assert bad[0]["problem"] == "no column for timestamp in bad.csv" and bad[0]["timestamp"] is None
+
+
+@pytest.mark.parametrize("size", [0, 1 << 20])
+def test_utf16_without_a_mark(spark, tmp_path, tiny_splits, size):
+    want = {}
+    for name, coding in (("le", "utf-16-le"), ("be", "utf-16-be"), ("u8", "utf-8")):
+        rows = [row(i, who) for i, who in enumerate(["ann", "Ж", "日本", "ਅ", "é"] * 3)]
+        put(tmp_path / f"{name}.csv", text_of(rows, "\t"), coding)
+        want[f"{name}.csv"] = sorted((r[1], r[6]) for r in rows)
+    got = read_raw_text(spark, str(tmp_path), whole_file_bytes=size).collect()
+    for name, rows in want.items():
+        assert sorted((r["batch_time_mins"], r["extra"]["Operator"]) for r in got if r["source_file"] == name) == rows, name
+
+
+@pytest.mark.parametrize("size", [0, 1 << 20])
+def test_separator_by_even_cells(spark, tmp_path, size):
+    """Headers with more commas than separators; texts with more of a mark than there are separators."""
+    header = ["Time", "Batch Time, (mins), run", "R1_PH_R02, at, 20", "R1 Temp, C, avg"]
+    body = [[row(i)[0], f"{i + 1},0", "7,1", "80,1"] for i in range(6)]
+    for k, sep in enumerate([";", "\t", "|"]):
+        lines = [sep.join(f'"{c}"' for c in header), *(sep.join(r) for r in body)]
+        put(tmp_path / f"f{k}.csv", "\n".join(lines) + "\n", "utf-8")
+        put(tmp_path / f"g{k}.csv", "\n".join([sep.join(header), *lines[1:]]) + "\n", "utf-8")
+    got = read_raw_text(spark, str(tmp_path), whole_file_bytes=size).collect()
+    assert len(got) == 36
+    assert {(r["ph_level"], r["temperature_c"]) for r in got} == {("7,1", "80,1")}
+
+
 def test_quotes_and_short_lines(spark, tmp_path):
     text = 'Time,Batch Time,R1_PH_R02,Note\n2024-01-05 08:00:00,1,"7,5","say ""hi"", ok"\n2024-01-05 08:01:00,2\n'
     put(tmp_path / "a.csv", text, "utf-8")
@@ -142,8 +232,8 @@ def test_second_column_of_a_role_is_kept_as_extra(spark, tmp_path):
 
 @pytest.mark.parametrize("limit", [10**6, 0])
 def test_missing_role_names_the_file(spark, tmp_path, limit):
-    put(tmp_path / "u16_nobom.csv", text_of([row(0)], "\t"), "utf-16-le")
-    with pytest.raises(Exception, match="no column for timestamp in u16_nobom.csv"):
+    put(tmp_path / "other.csv", text_of([row(0)], "\t", ["When", *HEADER[1:]]), "utf-16-le")
+    with pytest.raises(Exception, match="no column for timestamp in other.csv"):
         read_raw_text(spark, str(tmp_path), whole_file_bytes=limit).collect()
 
 
