@@ -27,7 +27,7 @@ from batchlake.functions.schema import (
 from batchlake.operators import clean as cl
 from batchlake.operators import features as ft
 from batchlake.operators import learn
-from batchlake.plans import monitor, reports
+from batchlake.plans import monitor, reports, summaries
 from batchlake.plans.medallion import clean, fit_and_score, run_layers
 from batchlake.plans.predictions import newest, read_dated, write_dated
 from batchlake.session import work_path
@@ -850,6 +850,68 @@ def _(spark, sf_dir):
     return reports.accuracy_summary(fx.predictions(spark, sf_dir))
 
 
+# -- reports from summaries ------------------------------------------------------
+
+
+def _lines(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
+    """Summary lines of a layer that was stored in two parts, the second over some batches of the first."""
+    path, rows = work_path(spark, layer), {"silver": fx.sensor_silver, "gold": fx.sensor_gold, "predictions": fx.predictions}[layer]
+    stored = rows(spark, sf_dir).select(*summaries.SCHEMAS[layer].names)
+    layers.write_layer(stored.filter(f"hour({TIME}) < 20"), path)
+    names = [r[BATCH] for r in layers.read_layer(spark, path, summaries.SCHEMAS[layer]).select(BATCH).distinct().collect()]
+    summaries.store_summary(spark, path, layer, names)
+    late = [r[BATCH] for r in stored.filter(f"hour({TIME}) >= 20").select(BATCH).distinct().collect()]
+    layers.write_layer(stored.filter(F.col(BATCH).isin(late)), path)
+    summaries.store_summary(spark, path, layer, late)
+    return summaries.read_summary(spark, path, layer)
+
+
+@query("R1_silver_summary_merged", _summary_sql("silver", SILVER_SCHEMA.names))
+def _(spark, sf_dir):
+    return summaries.layer_summary(_lines(spark, sf_dir, "silver"), "silver")
+
+
+@query("R3_date_range_merged", CATALOG["R3_date_range"].sql)
+def _(spark, sf_dir):
+    return summaries.date_range(_lines(spark, sf_dir, "silver"))
+
+
+@query("R4_measure_stats_merged", CATALOG["R4_measure_stats"].sql)
+def _(spark, sf_dir):
+    stats = summaries.measure_stats(_lines(spark, sf_dir, "silver"))
+    return stats.withColumn("avg_cP", F.round("avg_cP", 6))
+
+
+@query("R5_rows_per_batch_merged", CATALOG["R5_rows_per_batch"].sql)
+def _(spark, sf_dir):
+    return summaries.rows_per_batch(_lines(spark, sf_dir, "silver"))
+
+
+@query("R7_feature_stats_merged", CATALOG["R7_feature_stats"].sql)
+def _(spark, sf_dir):
+    stats = summaries.feature_stats(_lines(spark, sf_dir, "gold"))
+    return stats.withColumns({c: F.round(c, 6) for c in ("avg_visc", "avg_batch_%", "avg_temp_rate")})
+
+
+@query("R10_accuracy_summary_merged", CATALOG["R10_accuracy_summary"].sql)
+def _(spark, sf_dir):
+    return summaries.accuracy_summary(_lines(spark, sf_dir, "predictions"))
+
+
+@query(
+    "M6_accuracy_merged",
+    sql_over("predictions", f"SELECT round(sqrt(avg(pow({TARGET} - prediction, 2))), 6) AS rmse, {R2_SQL} AS r2 FROM predictions"),
+)
+def _(spark, sf_dir):
+    found = summaries.model_accuracy(_lines(spark, sf_dir, "predictions"))
+    return found.select(F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+@query("C10_quality_counters_merged", CATALOG["C10_quality_counters"].sql)
+def _(spark, sf_dir):
+    return summaries.merged_counters(summaries.batch_counters(fx.sensor_raw(spark, sf_dir)))
+
+
 # -- monitoring ----------------------------------------------------------------
 
 

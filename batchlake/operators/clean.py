@@ -109,20 +109,21 @@ def usable(typed: DataFrame) -> DataFrame:
 
 
 def quality_counters(
-    raw: DataFrame, keys=(BATCH, TIME), formats=TIME_FORMATS, tokens=NULL_TOKENS
+    raw: DataFrame, keys=(BATCH, TIME), formats=TIME_FORMATS, tokens=NULL_TOKENS, by: list[str] | None = None
 ) -> DataFrame:
-    """One row of counts: rows in, rejects by cause, rows before and after dedupe."""
-    typed = type_rows(raw, formats, tokens)
+    """One row of counts (for each value of ``by``, some of the keys): rows in, rejects by cause, rows before and after dedupe."""
+    typed, by = type_rows(raw, formats, tokens), by or []
     timed = F.col(TIME).isNotNull()
     kept = timed & F.coalesce(positive_test(), F.lit(False))
-    per_key = typed.groupBy(*[F.when(kept, F.col(k)).alias(k) for k in keys], kept.alias("_kept")).agg(
+    grouped = [F.col(k).alias(k) if k in by else F.when(kept, F.col(k)).alias(k) for k in keys]
+    per_key = typed.groupBy(*grouped, kept.alias("_kept")).agg(
         F.count("*").alias("_rows"),
         F.count_if(~timed).alias("_untimed"),
         F.count_if(timed & ~kept).alias("_impossible"),
     )
     saved = F.count_if(F.col("_kept"))
     before = F.coalesce(F.sum(F.when(F.col("_kept"), F.col("_rows"))), F.lit(0))
-    return per_key.agg(
+    return per_key.groupBy(*by).agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_in"),
         F.coalesce(F.sum("_untimed"), F.lit(0)).alias("rows_without_time"),
         F.coalesce(F.sum("_impossible"), F.lit(0)).alias("rows_impossible"),

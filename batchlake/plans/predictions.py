@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from batchlake.functions.schema import BATCH, PREDICTION_SCHEMA, TIME
 from batchlake.operators.learn import prediction_table, score, split
 from batchlake.plans.monitor import LATEST_ROWS, latest_n
+from batchlake.plans.summaries import summarise, summary_path
 from batchlake.session import work_path
 from batchlake.sources.layers import drop_partitions, exists, read_layer, write_layer
 
@@ -42,6 +43,7 @@ def write_dated(predictions: DataFrame, path: str, batches: list[str] | None = N
     _drop_old_days(spark, rows, path, batches)
     days = rows.groupBy(DAY, BATCH).agg(F.count("*").alias("rows"))
     write_layer(days, days_path(path), batches=batches)
+    write_layer(summarise(rows.drop(DAY), "predictions"), summary_path(path), batches=batches)
 
 
 def _drop_old_days(spark: SparkSession, rows: DataFrame, path: str, batches: list[str]) -> None:

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from batchlake.functions.schema import BATCH, BRONZE_SCHEMA, SILVER_SCHEMA, with_extra
 from batchlake.operators.clean import derive_batch_id
 from batchlake.plans.medallion import build_gold, build_silver
+from batchlake.plans.summaries import store_summary
 from batchlake.session import work_path
 from batchlake.sources.layers import (
     drop_batches,
@@ -157,6 +158,9 @@ def ingest_files(
         build_gold(silver, paths["gold"], batches)
     else:
         drop_batches(spark, paths["gold"], batches)
+    for layer in ("silver", "gold"):
+        if exists(spark, paths[layer]):
+            store_summary(spark, paths[layer], layer, batches)
     return counts
 
 
