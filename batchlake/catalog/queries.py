@@ -581,6 +581,13 @@ def _(spark, sf_dir):
     return assembled.select(BATCH, TIME, vector_to_array("features").alias("features"))
 
 
+def _stored_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature layer, written and read: fitting and scoring read it several times."""
+    path = work_path(spark, "gold")
+    fx.sensor_gold(spark, sf_dir).select(*GOLD_SCHEMA.names).write.parquet(path)
+    return layers.read_layer(spark, path, GOLD_SCHEMA)
+
+
 def fitted(spark: SparkSession, sf_dir: str, **forest) -> PipelineModel:
     train_rows, _ = learn.split(fx.sensor_gold(spark, sf_dir))
     return learn.train(train_rows, **forest)
@@ -624,6 +631,52 @@ def _(spark, sf_dir):
     return scored.select(BATCH, TIME, TARGET, F.col("prediction").isNotNull().alias("scored"))
 
 
+# A tree of one split over inputs of few values: SQL tries every split there is.
+TREE = {"cols": ["ph_whole", "visc_hundreds"], "trees": 1, "depth": 1, "bootstrap": False, "featureSubsetStrategy": "all"}
+TREE_SQL = f"""tabled AS (SELECT batch_id, "timestamp", {TARGET} AS y, split, floor(ph_level) AS ph_whole, floor(viscosity_lag_1 / 100) AS visc_hundreds FROM labelled),
+taught AS (SELECT f, x, y FROM (SELECT 'ph_whole' AS f, ph_whole AS x, y FROM tabled WHERE split = 'train'
+  UNION ALL SELECT 'visc_hundreds', visc_hundreds, y FROM tabled WHERE split = 'train')),
+cuts AS (SELECT f, (x + lead(x) OVER (PARTITION BY f ORDER BY x)) / 2 AS cut FROM (SELECT DISTINCT f, x FROM taught)),
+tried AS (SELECT c.f, cut, avg(y) FILTER (x <= cut) AS low, avg(y) FILTER (x > cut) AS high,
+    sum(y) FILTER (x <= cut) * avg(y) FILTER (x <= cut) + sum(y) FILTER (x > cut) * avg(y) FILTER (x > cut) AS gain
+  FROM cuts c JOIN taught t ON t.f = c.f WHERE cut IS NOT NULL GROUP BY c.f, cut),
+chosen AS (SELECT * FROM tried ORDER BY gain DESC LIMIT 1)"""
+
+
+@query(
+    "M3_train_tree",
+    sql_over(
+        "predictions",
+        'SELECT batch_id, "timestamp", round(CASE WHEN CASE f WHEN \'ph_whole\' THEN ph_whole ELSE visc_hundreds END <= cut THEN low ELSE high END, 6) '
+        "AS prediction FROM tabled, chosen WHERE split = 'test'",
+    ).replace("\nSELECT batch_id", f",{TREE_SQL}\nSELECT batch_id", 1),
+)
+def _(spark, sf_dir):
+    gold = fx.sensor_gold(spark, sf_dir).withColumns(
+        {"ph_whole": F.floor("ph_level").cast("double"), "visc_hundreds": F.floor(F.col("viscosity_lag_1") / 100).cast("double")}
+    )
+    train_rows, test_rows = learn.split(gold)
+    scored = learn.score(learn.train(train_rows, **TREE), test_rows)
+    return scored.select(BATCH, TIME, F.round("prediction", 6).alias("prediction"))
+
+
+@query(
+    "M3_fit_quality",
+    sql_over("predictions", "SELECT true AS better_than_mean, true AS better_taught_than_held_out FROM predictions LIMIT 1"),
+)
+def _(spark, sf_dir):
+    """The real forest against the mean: squared error on the rows it was taught, and on those held out."""
+    gold = _stored_gold(spark, sf_dir)
+    model = learn.train(learn.split(gold)[0])
+    both = learn.label_split(learn.score(model, gold))
+    mean = both.filter("split = 'train'").agg(F.avg(TARGET).alias("mean"))
+    errors = both.join(F.broadcast(mean)).groupBy("split").agg(  # one row
+        F.sum(F.pow(F.col("prediction") - F.col(TARGET), F.lit(2))).alias("own"), F.sum(F.pow(F.col("mean") - F.col(TARGET), F.lit(2))).alias("mean")
+    )
+    ratio = {s: F.sqrt(F.max(F.when(F.col("split") == s, F.col("own") / F.col("mean")))) for s in ("train", "test")}
+    return errors.agg((ratio["train"] < 0.95).alias("better_than_mean"), (ratio["train"] < ratio["test"]).alias("better_taught_than_held_out"))
+
+
 # The real forest: which rows it scores, and that no forecast leaves the range it was taught.
 @query(
     "M3_train",
@@ -633,9 +686,9 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    taught, _ = learn.split(fx.sensor_gold(spark, sf_dir))
+    taught, held_out = learn.split(_stored_gold(spark, sf_dir))
     span = taught.agg(F.min(TARGET).alias("lo"), F.max(TARGET).alias("hi"))
-    scored = _scored(spark, sf_dir, fitted(spark, sf_dir)).join(F.broadcast(span))  # one row
+    scored = learn.score(learn.train(taught), held_out).join(F.broadcast(span))  # one row
     # a mean of equal numbers may differ from them in the last digit
     inside = (F.col("prediction") >= F.col("lo") - 1e-6) & (F.col("prediction") <= F.col("hi") + 1e-6)
     return scored.select(BATCH, TIME, inside.alias("in_taught_range"))
