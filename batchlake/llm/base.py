@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,17 +31,45 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def landed(df: DataFrame, label: str) -> DataFrame:
+#: Spark's setting: shuffle files go at the end of the execution that made them.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Paths of the scopes that are open, the innermost last.
+_scopes: list[list[str]] = []
+
+
+def landed(df: DataFrame, label: str, kept: bool = False) -> DataFrame:
     """Write to a new folder below the shared one and read it from there.
 
-    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before.
+    Cuts the lineage: a lost executor costs the tasks it ran, not the steps before. Spark removes
+    the shuffle files of the job when the table is written. Inside a
+    ``scratch`` scope the table goes with the scope; a ``kept`` one goes with the scope around it.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    around = _scopes[: len(_scopes) - kept]
+    if around:
+        around[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables landed inside are deleted at the end, so nothing that is read later may hang on them."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def row_and(df: DataFrame, **columns: Column) -> DataFrame:
     """The whole row as one column ``row`` plus named ones, so that no name clashes."""
     return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *[c.alias(n) for n, c in columns.items()])

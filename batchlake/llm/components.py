@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from batchlake.llm.base import landed
+from batchlake.llm.base import landed, scratch
 
 
 def _lowest(edges: DataFrame) -> DataFrame:
@@ -24,24 +24,26 @@ def components(edges: DataFrame) -> DataFrame:
 
     Loops and repeated edges are allowed; rows with a null end are left out.
     """
-    current = landed(
-        edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
-    )
-    before = None
-    while True:
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _lowest(both).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).filter("u <> v").distinct()
-        hooked = _lowest(large.filter("u > v"))
-        small = (
-            hooked.select(F.col("v").alias("u"), F.col("low").alias("v"))
-            .unionByName(hooked.select("u", F.col("low").alias("v")))
-            .filter("u <> v")
-            .distinct()
+    with scratch(edges.sparkSession):
+        current = landed(
+            edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges"
         )
-        current = landed(small, "stars")
-        now = current.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == before:
-            break
-        before = now
-    roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        before = None
+        while True:
+            both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            large = _lowest(both).filter("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).filter("u <> v").distinct()
+            hooked = _lowest(large.filter("u > v"))
+            small = (
+                hooked.select(F.col("v").alias("u"), F.col("low").alias("v"))
+                .unionByName(hooked.select("u", F.col("low").alias("v")))
+                .filter("u <> v")
+                .distinct()
+            )
+            current = landed(small, "stars")
+            now = current.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long")), F.bit_xor(F.xxhash64("u", "v"))).first()
+            if now == before:
+                break
+            before = now
+        roots = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        both = roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        return landed(both, "roots", kept=True)

@@ -14,12 +14,17 @@ segments also meet on their first n-grams (prefix filter), so no pair is lost.
 Counting: the sets of candidates are cut into a few coarse fragments, the overlap of each
 pair is counted in each of them apart and summed for the pair.
 
-Groups: within a segment's documents, only pairs with the most central one are counted
-first. Pairs already in one component need no count. For those that still meet across
-components, the difference of each to its centre decides: two sets that link must share so
-many n-grams of their differences (they differ from each other by what they do not
-share), so they meet again only on a prefix of these. Copies by the thousand cost a
-star and short prefixes, not all pairs, and no link between components is missed.
+Groups: within a segment's documents, only pairs with one centre are counted first. The
+centre of a segment is its most central set, or a set yet more central that this one often
+meets, so that a group has few centres. Pairs already in one component need no count. In
+some further rounds each segment in which components still meet compares one set with those
+of other components and is done with it, which settles small segments. For the sets that
+then still meet across components, the difference of each to a centre decides: two sets
+that link must share so many n-grams of their differences (they differ from each other by
+what they do not share), so they meet again only on a prefix of these, those last that many
+sets of the centre share. What meets there goes through a star once more, and only what is
+then still apart is counted pair by pair. Copies by the thousand cost a star and short
+prefixes, not all pairs, and no link between components is missed.
 """
 
 from __future__ import annotations
@@ -29,11 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from batchlake.llm.base import landed, small_batches, text_bytes
+from batchlake.llm.base import landed, scratch, small_batches, text_bytes
 from batchlake.llm.components import components
 from batchlake.llm.words import WordHasher, byte_class, lower_ascii, mix
 
@@ -42,11 +47,28 @@ FRAGMENTS = 2
 #: A segment seen so often by one task is hot: its further rows are dealt over SALTS parts.
 HOT_ROWS = 64
 SALTS = 32
-#: Classes of differences, for each difference that a link allows.
-CLASSES = 6
+#: Classes of differences, for each difference that a link allows; the last one, NEAR, has all
+#: greater ones, of sets that have little to do with their centre.
+CLASSES, NEAR = 6, 12
+#: Texts that a scan decodes at once.
+SCAN_ROWS = 512
+#: Keys that a worker gives back at once.
+BATCH_KEYS = 20_000
+#: N-grams that many sets of a centre share, of all centres, that may be broadcast (8 bytes each).
+BROADCAST_GRAMS = 2_000_000
+#: Rounds in which each segment compares one set with its others and is done with it.
+ROUNDS = 2
+#: Sets of one centre in a part, when they are joined with what belongs to the centre.
+PART_SETS = 4096
+#: Sets from which the n-grams are told that many sets of a centre share, and the share
+#: (one in so many) that counts as many. They only decide the order of n-grams, not which are used.
+SHOWN_SETS, MANY = 64, 8
 #: Keys of texts that may be broadcast (8 bytes each).
 BROADCAST_TEXTS = 200_000
+#: Kinds of a segment's key, in its lowest bits: of the class above the set's own, of a prefix, hot.
+UP, PREFIX, HOT, KIND_BITS = 1, 2, 4, 3
 _SEEN_BITS = 20
+FRAGMENT = "key long, fragment int, tokens array<long>, sketch array<long>"
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -83,6 +105,32 @@ def set_key(tokens: np.ndarray) -> int:
     return int(mix(np.array([whole])).view(np.int64)[0])
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Parities of how many n-grams fall into each of m buckets, as bits of 64-bit words.
+
+    The sketches of two sets differ in at most as many bits as the sets differ in n-grams, so
+    they can prove that two sets do not link. m is a power of two, twice the set's size at
+    least; the wider of two sketches is folded upon itself.
+    """
+    words = 1 << max(0, (2 * len(tokens) - 1).bit_length() - 6)
+    bits = np.bincount((tokens & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8).reshape(words, 64), axis=1, bitorder="little").view("<u8")[:, 0]
+
+
+def apart_by(a: Column, b: Column) -> Column:
+    """By how many n-grams two sets differ at least, by their sketches."""
+    words = F.least(F.size(a), F.size(b))
+
+    def folded(x: Column) -> Column:
+        halves = F.zip_with(F.slice(x, F.lit(1), words), F.slice(x, words + 1, words), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) == 2 * words, halves).otherwise(x)
+
+    bits = F.zip_with(folded(a), folded(b), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    least = F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+    # sets of which one is over twice as large as the other need no sketch
+    return F.when(F.greatest(F.size(a), F.size(b)) <= 2 * words, least).otherwise(F.lit(0))
+
+
 class Segments:
     """Keys of the segments of a set, for Jaccard of at least ``percent`` / 100."""
 
@@ -104,35 +152,52 @@ class Segments:
             self.cuts.append((differ, spare))
         return int(np.searchsorted(self.first, size, "right")) - 1
 
-    def keys(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of segments, and for each its family (fragments << 32 | segments to leave out).
+    def _classes(self, size: int) -> range:
+        """A pair meets in the class of its larger set; a set also goes to the next class up if a
+        partner can be there."""
+        return range(self._class(size), self._class(size * 100 // self.percent) + 1)
 
-        A pair meets in the class of its larger set; a set also goes to the next class up
-        if a partner can be there. Classes whose sets must be equal have no keys.
+    def _parts(self, tokens: np.ndarray, c: int) -> tuple[int, np.ndarray, np.ndarray]:
+        """Number of fragments of a class, the fragment of each n-gram and where a new one begins."""
+        differ, spare = self.cuts[c]
+        parts = differ + 1 + spare
+        part = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+        return parts, part, np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
+
+    def spared(self, tokens: np.ndarray) -> list[int]:
+        """How many of its most shared segments a set can leave out, in its class and the next one up."""
+        size, out = len(tokens), [0, 0]
+        for up, c in enumerate(self._classes(size)) if size else ():
+            if self.cuts[c][0]:
+                largest = min(self.first[c + 1] - 1, size * 100 // self.percent)
+                agree = len(self._parts(tokens, c)[2]) - (size + largest) * (100 - self.percent) // (100 + self.percent)
+                out[up] = max(agree - 1, 0)
+        return out
+
+    def keys(self, tokens: np.ndarray) -> np.ndarray:
+        """Keys of the segments of a set; the lowest bits are the kind (UP, PREFIX).
+
+        Classes whose sets must be equal have no keys.
         """
-        size = len(tokens)
-        if not size:
-            return tokens, tokens.view(np.int64)
-        own, up = self._class(size), self._class(size * 100 // self.percent)
-        found = [self._keys_in(tokens, c) for c in range(own, up + 1)]
-        return np.concatenate([k for k, _ in found]), np.concatenate([f for _, f in found])
-
-    def _keys_in(self, tokens: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+        found = [tokens[:0]]
+        for up, c in enumerate(self._classes(len(tokens))) if len(tokens) else ():
+            found += self._keys_in(tokens, c, UP * up)
+        return np.concatenate(found)
+
+    def _keys_in(self, tokens: np.ndarray, c: int, kind: int) -> list[np.ndarray]:
         differ, spare = self.cuts[c]
         if not differ:
-            return tokens[:0], np.empty(0, np.int64)
-        size, parts = len(tokens), differ + 1 + spare
-        part = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        begins = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)))
-        keys = mix(np.add.reduceat(mix(tokens), begins) + mix(part[begins] + np.uint64(parts << 32)))
-        largest = min(self.first[c + 1] - 1, size * 100 // self.percent)
-        agree = len(begins) - (size + largest) * (100 - self.percent) // (100 + self.percent)
-        family = np.full(len(keys), parts << 32 | max(agree - 1, 0))
+            return []
+        parts, part, begins = self._parts(tokens, c)
+        keys = [_marked(mix(np.add.reduceat(mix(tokens), begins) + mix(part[begins] + np.uint64(parts << 32))), kind)]
         if parts - len(begins) > spare:
-            prefix = tokens[: size - math.ceil(size * self.percent / 100) + 1]
-            keys = np.concatenate((keys, mix(prefix + mix(np.array([parts], np.uint64)))))
-            family = np.concatenate((family, np.full(len(prefix), (parts << 32) + (1 << 60))))
-        return keys, family
+            prefix = tokens[: len(tokens) - math.ceil(len(tokens) * self.percent / 100) + 1]
+            keys.append(_marked(mix(prefix + mix(np.array([parts], np.uint64))), kind + PREFIX))
+        return keys
+
+
+def _marked(keys: np.ndarray, kind: int) -> np.ndarray:
+    return keys >> np.uint64(KIND_BITS) << np.uint64(KIND_BITS) | np.uint64(kind)
 
 
 class Recent:
@@ -150,123 +215,209 @@ class Recent:
         return self.counts[slots] - 1
 
 
-def _indexed(docs: DataFrame, n: int, percent: int, hot_rows: int) -> DataFrame:
-    """One row per document: doc_id, text_key, size, key, segments, families (hot ones negative).
+def _shingled(docs: DataFrame, n: int) -> DataFrame:
+    small_batches(docs.sparkSession)
+    # a scan holds its rows in arrays that grow by doubling: few long texts at once
+    docs.sparkSession.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(SCAN_ROWS))
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("text"))
+
+
+def _indexed(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, text_key, size, key, spared (see ``Segments.spared``)."""
+    taken = _shingled(docs, n)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, segments = Shingler(n), Segments(percent)
+        for batch in batches:
+            sets = shingler([v.as_py() for v in batch.column(2)])
+            columns = [
+                *batch.columns[:2],
+                pa.array([len(tokens) for tokens in sets], pa.int64()),
+                pa.array([set_key(tokens) for tokens in sets], pa.int64()),
+                pa.array([segments.spared(tokens) for tokens in sets], pa.list_(pa.int32())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "size", "key", "spared"])
+
+    kind = taken.schema["doc_id"].dataType.simpleString()
+    return landed(taken.mapInArrow(work, f"doc_id {kind}, text_key long, size long, key long, spared array<int>"), "ngram-index")
+
+
+def _segments(docs: DataFrame, n: int, percent: int, hot_rows: int) -> DataFrame:
+    """(segment, key) of every set, made again from the texts: they are too many to be stored.
 
     A worker gives the segments of a set once as long as it remembers the set.
     """
-    small_batches(docs.sparkSession)
-    taken = docs.select("doc_id", F.xxhash64("text").alias("text_key"), text_bytes().alias("text"))
+    taken = _shingled(docs, n)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, segments, sets, often = Shingler(n), Segments(percent), Recent(16), Recent()
         for batch in batches:
-            sizes, keys, own, families = [], [], [], []
+            made, keys = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
             for tokens in shingler([v.as_py() for v in batch.column(2)]):
                 key = set_key(tokens)
-                sizes.append(len(tokens))
-                keys.append(key)
-                known = not len(tokens) or sets.count(np.array([key]).view(np.uint64))[0]
-                made, family = segments.keys(tokens[:0] if known else tokens)
-                own.append(made.view(np.int64))
-                families.append(np.where(often.count(made) >= hot_rows, -family, family))
-            longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(own, longs), pa.array(families, longs)],
-                names=["doc_id", "text_key", "size", "key", "segments", "families"],
-            )
+                if len(tokens) and not sets.count(np.array([key]).view(np.uint64))[0]:
+                    own = segments.keys(tokens)
+                    made.append(own | np.where(often.count(own >> np.uint64(KIND_BITS)) >= hot_rows, np.uint64(HOT), np.uint64(0)))
+                    keys.append(np.full(len(own), key))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made).view(np.int64)), pa.array(np.concatenate(keys))], names=["segment", "key"])
 
-    kind = taken.schema["doc_id"].dataType.simpleString()
-    return landed(
-        taken.mapInArrow(work, f"doc_id {kind}, text_key long, size long, key long, segments array<long>, families array<long>"), "ngram-index"
-    )
+    return taken.mapInArrow(work, "segment long, key long")
+
+
+def difference(tokens: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """What only one of a set and its centre has; n-grams that the centre lacks come first."""
+    return np.concatenate((np.setdiff1d(tokens, centre, True), np.setdiff1d(centre, tokens, True)))
+
+
+def class_of(differ: int, width: int) -> int:
+    return min(differ // width, NEAR)
 
 
 def difference_keys(
-    tokens: np.ndarray, centre: np.ndarray, classes: list[int], limits: list[int], width: int, least_limits: list[int] | None = None
+    order: np.ndarray, classes: list[int], limits: list[int], width: int, least_limits: list[int] | None = None, common: np.ndarray | None = None
 ) -> np.ndarray:
     """Keys on which a set meets partners, in some classes of difference, that share its centre.
 
     Let x and y differ from the centre by dx and dy n-grams, and link only if they differ by at
     most some limit from each other. As they differ by dx + dy less twice what their
     differences share, they share at least (dx + dy - limit) / 2 of these. So for each class
-    of dy, a prefix of x's difference is enough, in any order that all sets of a centre
-    have: n-grams that the centre lacks first. Where nothing need be shared, they meet on 0.
+    of dy, a prefix of x's difference (``order``) is enough, in any order that all sets of a
+    centre have: n-grams that many share (``common``) last, as given, before them those that
+    the centre lacks first. Where nothing need be shared, they meet on 0.
 
     Each side knows only bounds of the other's difference and of the limit (``limits``, and
     from below ``least_limits``), so one can need nothing where the other needs something:
     x then emits 0 and its whole difference, unless no pair with the class needs anything.
     """
-    order = np.concatenate((np.setdiff1d(tokens, centre, True), np.setdiff1d(centre, tokens, True)))
+    if common is not None and len(common):
+        order = np.concatenate((order[~np.isin(order, common)], common[np.isin(common, order)]))
     own, found = len(order), [order[:0]]
     for other, most, sure in zip(classes, limits, least_limits or [-1] * len(classes)):
-        low, high = other * width, other * width + width - 1
+        # a partner differs from the centre by no more or less than the limit allows
+        low, high = max(other * width, own - most), own + most if other == NEAR else other * width + width - 1
         need = -((most - own - low) // 2)
         if need <= min(own, high):
             grams = order[: own - max(need, 1) + 1] if own + high > sure else order[:0]
             if need <= 0:
                 grams = np.append(grams, np.uint64(0))
-            pair = np.uint64((min(own // width, other) << 32) + max(own // width, other))
+            pair = np.uint64((min(class_of(own, width), other) << 32) + max(class_of(own, width), other))
             found.append(mix(grams * _STEP + pair))
     return np.concatenate(found)
 
 
-def _meetings(spokes: DataFrame, fragments: DataFrame) -> DataFrame:
-    """(meeting, b, size_b, root_b, outside): where the sets of a centre meet each other."""
-    wanted = _ends(spokes)
+def _tokens(column: pa.Array) -> list[np.ndarray]:
+    return [x.values.to_numpy(zero_copy_only=False).view(np.uint64) if x.is_valid else np.empty(0, np.uint64) for x in column]
+
+
+def _dealt(table: DataFrame) -> DataFrame:
+    """Rows of centres (with ``parts``) once for each part that the centre's sets are dealt over."""
+    return table.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+
+def _differences(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, ...) of centres and sets with ``order``, the set's difference to the centre."""
+    wanted = _ends(pairs)
     # the fragments of one set, not of a group of documents, come together here
     sets = fragments.join(wanted, "key", "left_semi").groupBy("key").agg(F.flatten(F.collect_list("tokens")).alias("tokens"))
-    both = spokes.join(sets.select(F.col("key").alias("a"), F.col("tokens").alias("of_a")), "a").join(
-        sets.select(F.col("key").alias("b"), F.col("tokens").alias("of_b")), "b"
-    )
+    sets = landed(sets, "ngram-sets")
+    parts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PART_SETS).cast("int").alias("parts"))
+    of_a = _dealt(sets.join(parts, F.col("key") == F.col("a")).select("a", "parts", F.col("tokens").alias("of_a"))).drop("parts")
+    kept = pairs.columns
+    dealt = pairs.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), "parts").cast("int")).select(*kept, "part")
+    both = dealt.join(sets.select(F.col("key").alias("b"), F.col("tokens").alias("of_b")), "b").join(of_a, ["a", "part"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            centres, classes, limits, width, least = (batch.column(i).to_pylist() for i in (0, 5, 6, 7, 10))
-            made = []
+            sides = zip(_tokens(batch.column(len(kept) + 1)), _tokens(batch.column(len(kept))))
+            orders = [difference(np.sort(own), np.sort(centre)).view(np.int64) for own, centre in sides]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(orders, pa.list_(pa.int64()))], names=[*kept, "order"])
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
+    return landed(both.select(*kept, "of_a", "of_b").mapInArrow(work, f"{kinds}, order array<long>"), "ngram-differences")
+
+
+def _shared_by_many(differences: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, common): n-grams in the differences of many sets of a centre, the most frequent last.
+
+    Told from some SHOWN_SETS sets of each centre (which has ``n`` in ``sizes``), so that it does not grow with it.
+    """
+    shown = differences.select("a", "b", "order").join(sizes, "a").filter(F.pmod(F.xxhash64("b"), F.col("n")) < SHOWN_SETS)
+    often = shown.select("a", F.explode("order").alias("token")).groupBy("a", "token").agg(F.count(F.lit(1)).alias("often"))
+    sets = shown.groupBy("a").agg(F.count(F.lit(1)).alias("sets"))
+    many = often.join(sets, "a").filter((F.col("often") > 1) & (F.col("often") * MANY >= F.col("sets")))
+    listed = F.array_sort(F.collect_list(F.struct("often", "token")))
+    return landed(many.groupBy("a").agg(listed.getField("token").alias("common")), "ngram-common")
+
+
+def _meetings(differences: DataFrame, able: DataFrame) -> DataFrame:
+    """(meeting, a, b, size_b, differ, root_b, outside): where the ``able`` sets of a centre meet each other.
+
+    What is known of sets and centres is broadcast if it was counted to be little, else dealt out.
+    """
+    sizes = able.groupBy("a").agg(F.max("n").alias("n"), F.max("parts").alias("parts"))
+    common = _shared_by_many(differences, sizes.select("a", "n"))
+    if (common.agg(F.sum(F.size("common"))).first()[0] or 0) <= BROADCAST_GRAMS:
+        common, on = F.broadcast(common), ["a"]
+    else:
+        common, on = _dealt(common.join(sizes, "a")).select("a", "part", "common"), ["a", "part"]
+    if able.count() <= BROADCAST_TEXTS:
+        able = F.broadcast(able)
+    both = differences.select("a", "b", "order").join(able, ["a", "b"]).join(common, on, "left")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            centres, classes, limits, least, width = (batch.column(i).to_pylist() for i in (0, 6, 7, 8, 9))
+            orders, common = _tokens(batch.column(10)), _tokens(batch.column(11))
+            made: list[np.ndarray] = []
             for k in range(batch.num_rows):
-                own, centre = (np.sort(batch.column(i)[k].values.to_numpy(zero_copy_only=False).view(np.uint64)) for i in (9, 8))
-                keys = difference_keys(own, centre, classes[k], limits[k], width[k], least[k])
+                keys = difference_keys(orders[k], classes[k], limits[k], width[k], least[k], common[k])
                 made.append(mix(keys + np.array([centres[k]]).view(np.uint64)).view(np.int64))
-            which = np.repeat(np.arange(len(made)), [len(m) for m in made])
-            columns = [batch.column(i).take(pa.array(which)) for i in (1, 2, 3, 4)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)) if made else pa.array([], pa.int64()), *columns], names=["meeting", "b", "size_b", "root_b", "outside"])
+                if sum(map(len, made)) >= BATCH_KEYS or k == batch.num_rows - 1:
+                    which = pa.array(np.repeat(np.arange(k + 1 - len(made), k + 1), [len(m) for m in made]), pa.int64())
+                    columns = [batch.column(i).take(which) for i in range(6)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), *columns], names=["meeting", *kept])
+                    made = []
 
-    return both.select("a", "b", "size_b", "root_b", "outside", "classes", "limits", "width", "of_a", "of_b", "least_limits").mapInArrow(
-        work, "meeting long, b long, size_b long, root_b long, outside boolean"
-    )
+    kept = ["a", "b", "size_b", "differ", "root_b", "outside"]
+    taken = both.select(*kept, "classes", "limits", "least_limits", "width", "order", "common")
+    return taken.mapInArrow(work, "meeting long, a long, b long, size_b long, differ long, root_b long, outside boolean")
 
 
-def _met(index: DataFrame) -> DataFrame:
+def _met(index: DataFrame, segments: DataFrame) -> DataFrame:
     """(segment, key, size, weight): sets by the segments that may bring them to a partner.
 
     One shuffle of narrow rows keeps the segments that several sets have; hot ones are dealt
     over several parts. The others are few. A set's most shared segments are left out, as
-    many as its family says; the order is the same for all sets.
+    many as it can spare in that class; the order is the same for all sets.
     """
-    each = index.select("key", F.explode(F.arrays_zip("segments", "families")).alias("x")).select(
-        F.col("x.segments").alias("segment"),
-        F.when(F.col("x.families") < 0, F.pmod("key", F.lit(SALTS)) + 1).otherwise(0).cast("int").alias("salt"),
+    kind = F.col("segment").bitwiseAND((1 << KIND_BITS) - 1)
+    each = segments.select(
+        F.shiftright("segment", KIND_BITS).alias("segment"),
+        F.when(kind >= HOT, F.pmod("key", F.lit(SALTS)) + 1).otherwise(0).cast("byte").alias("salt"),
         "key",
-        F.abs("x.families").alias("family"),
+        kind.bitwiseAND(HOT - 1).cast("byte").alias("kind"),
     )
     w = W.partitionBy("segment", "salt")
     several = each.select("*", F.min("key").over(w).alias("low"), F.max("key").over(w).alias("high"))
-    shared = landed(several.filter("salt > 0 or low < high").select("segment", "key", "family"), "ngram-shared")
-    often = shared.groupBy("segment").agg(F.count(F.lit(1)).alias("often"))
-    # weight says how central a set is: it counts the segments left out too
-    ranked = shared.join(often, "segment").select(
-        "*",
-        F.sum("often").over(W.partitionBy("key")).alias("weight"),
-        F.dense_rank().over(W.partitionBy("key", "family").orderBy(F.desc("often"), "segment")).alias("rank"),
-    )
-    sizes = index.filter("size > 0").groupBy("key").agg(F.max("size").alias("size"))
-    kept = ranked.filter(F.col("rank") > F.col("family").bitwiseAND((1 << 32) - 1)).select("segment", "key", "weight").join(sizes, "key")
-    return landed(kept, "ngram-met")
+    with scratch(index.sparkSession):
+        shared = landed(several.filter("salt > 0 or low < high").select("segment", "key", "kind"), "ngram-shared")
+        often = shared.groupBy("segment").agg(F.count(F.lit(1)).alias("often"))
+        # weight says how central a set is: it counts the segments left out too
+        ranked = shared.join(often, "segment").select(
+            "*",
+            F.sum("often").over(W.partitionBy("key")).alias("weight"),
+            F.dense_rank().over(W.partitionBy("key", "kind").orderBy(F.desc("often"), "segment")).alias("rank"),
+        )
+        sizes = index.filter("size > 0").groupBy("key").agg(F.max(F.struct("size", "spared")).alias("of"))
+        spared = F.when(F.col("kind") >= PREFIX, 0).otherwise(F.get("of.spared", F.col("kind").cast("int")))
+        kept = ranked.join(sizes, "key").filter(F.col("rank") > spared).select("segment", "key", "of.size", "weight")
+        return landed(kept, "ngram-met", kept=True)
 
 
 def _fragments(docs: DataFrame, index: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(key, fragment, tokens) of the wanted sets, made again from one text of each.
+    """(key, fragment, tokens, sketch) of the wanted sets, made again from one text of each.
+
+    The sketch stands with the first fragment of a set only.
 
     The list of texts is broadcast if it was counted to be short; else texts are dealt
     by their key. Equal texts are reduced to one ahead of the shuffle.
@@ -283,22 +434,25 @@ def _fragments(docs: DataFrame, index: DataFrame, wanted: DataFrame, n: int) ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
-            out: dict[str, list] = {"key": [], "fragment": [], "tokens": []}
+            out: dict[str, list] = {"key": [], "fragment": [], "tokens": [], "sketch": []}
             for tokens in shingler([v.as_py() for v in batch.column(1)]):
                 key = set_key(tokens)
+                bits = sketch(tokens).view(np.int64)
                 cuts = np.searchsorted(tokens, (np.arange(1, FRAGMENTS, dtype=np.uint64) << np.uint64(64 - FRAGMENTS.bit_length() + 1)))
                 for fragment, part in enumerate(np.split(tokens.view(np.int64), cuts)):
                     if len(part):
-                        for name, value in zip(out, (key, fragment, part)):
+                        for name, value in zip(out, (key, fragment, part, bits)):
                             out[name].append(value)
-            kinds = pa.int64(), pa.int32(), pa.list_(pa.int64())
+                        bits = None  # once for each set
+            kinds = pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], names=list(out))
 
-    return landed(taken.mapInArrow(work, "key long, fragment int, tokens array<long>"), "ngram-fragments")
+    return landed(taken.mapInArrow(work, FRAGMENT), "ngram-fragments")
 
 
 def _counted(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
     """``pairs`` with ``shared``: overlaps counted for each fragment and summed."""
+    fragments = landed(fragments.join(_ends(pairs), "key", "left_semi").drop("sketch"), "ngram-needed")
     left = fragments.select(F.col("key").alias("a"), "fragment", F.col("tokens").alias("of_a"))
     right = fragments.select(F.col("key").alias("b"), "fragment", F.col("tokens").alias("of_b"))
     partial = (
@@ -333,17 +487,18 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80, hot_rows: in
     no other can. Rows without words are in no group and all stay. What goes is a list of
     (id, text), broadcast if it was counted to be short, else joined in a shuffle.
     """
-    index, named = _grouped(docs, n, percent, hot_rows)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))
-    rows = index.filter("size > 0").join(named.select("key", "root"), "key")
-    rows = rows.groupBy("root", name.alias("name"), "text_key").agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    heads = rows.groupBy("root").agg(F.min(first).alias("head"))
-    is_head = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key").eqNullSafe(F.col("head"))
-    judged = rows.join(heads, "root").select("name", "text_key", (~is_head).alias("goes"), "copies").filter("goes or copies > 1")
-    judged = landed(judged, "ngram-judged")
-    if judged.count() <= BROADCAST_TEXTS:
-        judged = F.broadcast(judged)
+    with scratch(docs.sparkSession):
+        index, named = _grouped(docs, n, percent, hot_rows)
+        rows = index.filter("size > 0").join(named.select("key", "root"), "key")
+        rows = rows.groupBy("root", name.alias("name"), "text_key").agg(F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+        first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+        heads = rows.groupBy("root").agg(F.min(first).alias("head"))
+        is_head = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key").eqNullSafe(F.col("head"))
+        judged = rows.join(heads, "root").select("name", "text_key", (~is_head).alias("goes"), "copies").filter("goes or copies > 1")
+        judged = landed(judged, "ngram-judged", kept=True)
+        if judged.count() <= BROADCAST_TEXTS:
+            judged = F.broadcast(judged)
     own = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), name.alias("name"), F.xxhash64("text").alias("text_key"))
     joined = own.join(judged, ["name", "text_key"], "left").filter("goes is null or not goes")
     repeated = joined.filter("copies > 1").dropDuplicates(["name", "text_key"]).select("row.*")
@@ -352,18 +507,24 @@ def representatives(docs: DataFrame, n: int = 5, percent: int = 80, hot_rows: in
 
 def _grouped(docs: DataFrame, n: int, percent: int, hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """The index, and (key, root, component_id) of every set in it."""
-    index = _indexed(docs, n, percent, hot_rows)
-    met = _met(index)
-    join = _Join(docs, index, n, percent)
-    # at first each set is a component of its own
-    spokes = join.count(join.star(met.withColumn("root", F.col("key"))), fetch=True)
-    left = join.crossing(met)
-    if not left.isEmpty():
-        join.count(join.apart(left, spokes))
-    sets = index.filter("size > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
-    named = sets.join(join.label, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    return index, named.join(least, "root").select("key", "root", "component_id")
+    index = _indexed(docs, n, percent)
+    with scratch(docs.sparkSession):
+        met = _met(index, _segments(docs, n, percent, hot_rows))
+        join = _Join(docs, index, n, percent)
+        # at first each set is a component of its own
+        join.link(join.fits(join.star(met)), fetch=True)
+        rows = met
+        for _ in range(ROUNDS):
+            rows = join.crossing(rows)
+            if not rows.isEmpty():
+                rows = join.settle(rows)
+        rows = join.crossing(rows)
+        if not rows.isEmpty():
+            join.apart(rows)
+        sets = index.filter("size > 0").groupBy("key").agg(F.min("doc_id").alias("least"))
+        named = sets.join(join.label, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("root", "key").alias("root"))
+        least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+        return index, landed(named.join(least, "root").select("key", "root", "component_id"), "ngram-named", kept=True)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -371,101 +532,194 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("key")).distinct().unionByName(pairs.select(F.col("b").alias("key")).distinct()).distinct()
 
 
+def _hubs(rows: DataFrame) -> DataFrame:
+    """(segment, hub, hub_weight): the most central set of each segment."""
+    hub = rows.groupBy("segment").agg(F.max(F.struct("weight", "key")).alias("hub"))
+    return hub.select("segment", F.col("hub.key").alias("hub"), F.col("hub.weight").alias("hub_weight"))
+
+
+def _centres(met: DataFrame) -> DataFrame:
+    """(hub, centre): for the most central set of a segment, the one that stands for it.
+
+    That is the most central among the hubs of its own segments, if a quarter of these have it.
+    Any choice is right, as long as all sets of a segment have the same; few centres are best.
+    """
+    hubs = landed(_hubs(met), "ngram-hubs")
+    own = met.join(hubs.select(F.col("hub").alias("key")).distinct(), "key", "left_semi").select("segment", "key").join(hubs, "segment")
+    seen = own.groupBy("key", "hub").agg(F.count(F.lit(1)).alias("n"), F.max("hub_weight").alias("hub_weight"))
+    total = seen.groupBy("key").agg(F.sum("n").alias("total"))
+    near = seen.join(total, "key").filter("4 * n >= total").groupBy("key").agg(F.max(F.struct("hub_weight", "hub")).alias("top"))
+    return total.join(near, "key", "left").select(F.col("key").alias("hub"), F.coalesce("top.hub", "key").alias("centre"))
+
+
 class _Join:
-    """The sets fetched, the links found and the components they make."""
+    """The sets fetched and the components that the links found make."""
 
     def __init__(self, docs: DataFrame, index: DataFrame, n: int, percent: int):
         self.docs, self.index, self.n, self.percent = docs, index, n, percent
         spark = docs.sparkSession
-        self.links = spark.createDataFrame([], "a long, b long")
         self.label = spark.createDataFrame([], "node long, root long")
-        self.fragments = spark.createDataFrame([], "key long, fragment int, tokens array<long>")
+        self.fragments = spark.createDataFrame([], FRAGMENT)
+        self.sizes = index.filter("size > 0").groupBy("key").agg(F.max("size").alias("size"))
 
-    def crossing(self, met: DataFrame) -> DataFrame:
+    def root(self, rows: DataFrame, key: str, name: str) -> DataFrame:
+        """``rows`` with the component of the set ``key``."""
+        label = self.label.select(F.col("node").alias(key), F.col("root").alias(name))
+        return rows.join(label, key, "left").withColumn(name, F.coalesce(name, key))
+
+    def fits(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sizes allow a link."""
+        return pairs.filter(F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.percent)
+
+    def crossing(self, rows: DataFrame) -> DataFrame:
         """The rows of segments in which two components meet, with the component."""
-        rows = met.join(self.label, met.key == self.label.node, "left").select(
-            "segment", "key", "size", "weight", F.coalesce("root", "key").alias("root")
-        )
+        rows = self.root(rows.drop("root"), "key", "root")
         split = rows.groupBy("segment").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high")
         return landed(rows.join(split.select("segment"), "segment", "left_semi"), "ngram-crossing")
 
     def star(self, rows: DataFrame) -> DataFrame:
-        """Each segment's sets paired with the most central one."""
+        """Each segment's sets paired with its centre."""
+        centres = _centres(rows).join(self.sizes, F.col("centre") == F.col("key")).select("hub", "centre", "size")
+        centre = _hubs(rows).join(landed(centres, "ngram-centres"), "hub").select("segment", F.col("centre").alias("a"), F.col("size").alias("size_a"))
+        pairs = rows.join(centre, "segment").filter("key <> a").select("a", F.col("key").alias("b"), "size_a", F.col("size").alias("size_b"))
+        return landed(pairs.distinct(), "ngram-star")
+
+    def settle(self, rows: DataFrame) -> DataFrame:
+        """Compare the most central set of each segment with those of other components.
+
+        Returns the rows without these sets: what pairs with them is known.
+        """
         hub = rows.groupBy("segment").agg(F.max(F.struct("weight", "key", "size", "root")).alias("hub"))
-        return rows.join(hub, "segment").filter("key <> hub.key").select(
-            F.col("hub.key").alias("a"),
-            F.col("key").alias("b"),
-            F.col("hub.size").alias("size_a"),
-            F.col("size").alias("size_b"),
-            F.col("hub.root").alias("root_a"),
-            F.col("root").alias("root_b"),
+        others = landed(rows.join(hub, "segment").filter("key <> hub.key"), "ngram-others")
+        pairs = others.filter("root <> hub.root").select(
+            F.col("hub.key").alias("a"), F.col("key").alias("b"), F.col("hub.size").alias("size_a"), F.col("size").alias("size_b")
         )
+        self.link(self.fits(pairs), fetch=True)
+        return others.drop("hub")
+
+    def limit(self, size: Column, other: Column) -> Column:
+        """By how much two sets that link can differ."""
+        return F.floor((size + other) * (100 - self.percent) / (100 + self.percent)).cast("long")
 
-    def apart(self, rows: DataFrame, counted: DataFrame) -> DataFrame:
-        """Pairs across components whose differences to the centre they share can make a link.
+    def able(self, known: DataFrame) -> DataFrame:
+        """Sets with their centre, and the classes of difference in which they can have partners.
 
-        One of a pair is always outside the centre's component, so the sets inside it, which
-        can be most of a large group, are never paired with each other. Sets whose centre
-        has no partner for them in any class of difference drop out.
+        Of a pair one is always outside the centre's component, so the sets inside it, which can
+        be most of a large group, are never paired with each other. Sets whose centre has no
+        partner for them in any class of difference drop out.
         """
-        p, q = 100 - self.percent, 100 + self.percent
         spokes = (
-            self.star(rows).distinct().join(counted.select("a", "b", "shared"), ["a", "b"])
+            self.root(self.root(known, "a", "root_a"), "b", "root_b")
             .withColumn("outside", F.col("root_a") != F.col("root_b"))
-            .withColumn("differ", F.col("size_a") + F.col("size_b") - 2 * F.col("shared"))
-            .withColumn("width", F.greatest(F.floor(F.floor(2 * F.col("size_a") * p / q) / CLASSES), F.lit(1)).cast("long"))
+            .withColumn("width", F.greatest(F.floor(self.limit(F.col("size_a"), F.col("size_a")) / CLASSES), F.lit(1)).cast("long"))
             .withColumn("class", F.floor(F.col("differ") / F.col("width")).cast("long"))
+            # beyond NEAR, steps of a whole limit tell whether there is a partner at all
+            .withColumn("class", F.when(F.col("class") < NEAR, F.col("class")).otherwise(NEAR + F.floor((F.col("class") - NEAR) / CLASSES).cast("long")))
         )
         spokes = landed(spokes, "ngram-spokes")
         # classes are a bounded number for each centre, however many sets it has
         there = spokes.groupBy("a", "class").agg(
-            F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"), F.max("size_b").alias("largest"), F.min("size_b").alias("smallest")
-        )
-        there = there.groupBy("a").agg(F.collect_list(F.struct("class", "low", "high", "out", "largest", "smallest")).alias("there"))
+            F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"),
+            F.max("size_b").alias("largest"), F.min("size_b").alias("smallest"), F.count(F.lit(1)).alias("n"),
+        )
+        there = there.groupBy("a").agg(F.collect_list(F.struct("class", "low", "high", "out", "largest", "smallest")).alias("there"), F.sum("n").alias("n"))
+        there = landed(there.withColumn("parts", F.ceil(F.col("n") / PART_SETS).cast("int")), "ngram-there")
 
         def limit(c, size="largest"):
-            """How much a set may differ from any of the class (or from its smallest) to link with it."""
-            return F.floor((F.col("size_b") + c[size]) * p / q).cast("long")
+            return self.limit(F.col("size_b"), c[size])
+
+        def low(c):
+            return F.when(c < NEAR, c).otherwise(NEAR + (c - NEAR) * CLASSES) * F.col("width")
 
         def partner(c):
             other = (c.low != F.col("root_b")) | (c.high != F.col("root_b"))
-            near = (c["class"] * F.col("width") <= F.col("differ") + limit(c)) & ((c["class"] + 1) * F.col("width") > F.col("differ") - limit(c))
+            near = (low(c["class"]) <= F.col("differ") + limit(c)) & (low(c["class"] + 1) > F.col("differ") - limit(c))
             return other & (F.col("outside") | c.out) & near
 
-        able = (
-            spokes.join(there, "a")
-            .withColumn("partners", F.filter("there", partner))
-            .filter(F.size("partners") > 0)
-            .select(
-                "a", "b", "size_b", "root_b", "outside",
-                F.col("partners.class").alias("classes"),
-                F.transform("partners", lambda c: limit(c)).alias("limits"),
-                F.transform("partners", lambda c: limit(c, "smallest")).alias("least_limits"),
-                "width",
-            )
-        )
-        meetings = landed(_meetings(able, self.fragments), "ngram-meetings")
-        of = meetings.groupBy("meeting").agg(F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"))
-        known = landed(meetings.join(of.filter("low < high and out").select("meeting"), "meeting", "left_semi"), "ngram-meet")
-        left = known.filter("outside").select("meeting", F.col("b").alias("x"), F.col("size_b").alias("size_x"), F.col("root_b").alias("root_x"))
-        met = left.join(known, "meeting").filter("root_x <> root_b and (not outside or x < b)")
-        fits = F.least("size_x", "size_b") * 100 >= F.greatest("size_x", "size_b") * self.percent
-        return met.filter(fits).select(F.col("x").alias("a"), "b", F.col("size_x").alias("size_a"), "size_b")
+        def each_class(of):
+            """The classes that keys know, and a value for each."""
+            known = F.array_distinct(F.transform("partners", lambda c: F.least(c["class"], F.lit(NEAR))))
+            return F.transform(known, lambda k: of(k, F.filter("partners", lambda c: F.least(c["class"], F.lit(NEAR)) == k)))
+
+        able = spokes.join(there, "a").withColumn("partners", F.filter("there", partner)).filter(F.size("partners") > 0)
+        return landed(able.select(
+            "a", "b", "size_b", "differ", "root_b", "outside",
+            each_class(lambda k, own: k).alias("classes"),
+            each_class(lambda k, own: F.array_max(F.transform(own, lambda c: limit(c)))).alias("limits"),
+            each_class(lambda k, own: F.array_min(F.transform(own, lambda c: limit(c, "smallest")))).alias("least_limits"),
+            "width", "n", "parts",
+            F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"),
+        ), "ngram-able")
+
+    def mixed(self, rows: DataFrame) -> DataFrame:
+        """The meetings of several components, one of them not the centre's."""
+        of = rows.groupBy("meeting").agg(F.min("root_b").alias("low"), F.max("root_b").alias("high"), F.bool_or("outside").alias("out"))
+        return landed(rows.join(of.filter("low < high and out").select("meeting"), "meeting", "left_semi"), "ngram-meet")
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """Pairs (x, y) of sets of one centre that sizes and differences to it allow to link."""
+        limit = self.limit(F.col("x.size_b"), F.col("y.size_b"))
+        near = pairs.filter((F.abs(F.col("x.differ") - F.col("y.differ")) <= limit) & (F.col("x.root_b") != F.col("y.root_b")))
+        return self.fits(near.select(F.col("x.b").alias("a"), F.col("y.b").alias("b"), F.col("x.size_b").alias("size_a"), F.col("y.size_b").alias("size_b")))
+
+    def apart(self, rows: DataFrame) -> None:
+        """Links between components, of sets whose differences to the centre they share allow them."""
+        star = self.star(rows)
+        self.fetch(_ends(star))
+        differences = _differences(star, self.fragments)
+        known = differences.select("a", "b", "size_a", "size_b", F.size("order").cast("long").alias("differ"))
+        known = known.withColumn("shared", F.expr("(size_a + size_b - differ) div 2"))
+        self.merge(known)
+        known = self.mixed(landed(_meetings(differences, self.able(known)), "ngram-meetings"))
+        # a star once more: what meets mostly belongs together
+        y = F.struct("b", "size_b", "differ", "root_b")
+        weights = known.groupBy("b").agg(F.count(F.lit(1)).alias("weight"))
+        hubs = known.join(weights, "b").groupBy("meeting").agg(F.max(F.struct("weight", "b", "size_b", "differ", "root_b")).alias("x"))
+        self.link(self.possible(known.select("meeting", y.alias("y")).join(hubs, "meeting")))
+        # what is then still apart, pair by pair
+        known = self.root(self.root(known.drop("root_b", "outside"), "a", "root_a"), "b", "root_b")
+        known = self.mixed(known.withColumn("outside", F.col("root_a") != F.col("root_b")))
+        each = known.select("meeting", y.alias("y"), "outside")
+        left = each.filter("outside").select("meeting", F.col("y").alias("x"))
+        self.link(self.possible(left.join(each, "meeting").filter("not outside or x.b < y.b")))
 
     def fetch(self, keys: DataFrame) -> None:
-        new = keys.join(self.fragments.select("key"), "key", "left_anti")
-        self.fragments = self.fragments.unionByName(_fragments(self.docs, self.index, new, self.n))
+        """Have the fragments and sketches of some sets."""
+        new = landed(keys.join(self.fragments.select("key"), "key", "left_anti"), "ngram-new")
+        if not new.isEmpty():
+            self.fragments = self.fragments.unionByName(_fragments(self.docs, self.index, new, self.n))
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs that their sketches do not prove to be apart."""
+        sketches = self.fragments.select("key", "sketch").filter("sketch is not null")
+        both = pairs.join(sketches.select(F.col("key").alias("a"), F.col("sketch").alias("of_a")), "a").join(
+            sketches.select(F.col("key").alias("b"), F.col("sketch").alias("of_b")), "b"
+        )
+        return both.filter(apart_by(F.col("of_a"), F.col("of_b")) <= self.limit(F.col("size_a"), F.col("size_b"))).select(*pairs.columns)
 
-    def count(self, pairs: DataFrame, fetch: bool = False) -> DataFrame:
-        """The pairs with what they share; links and components follow.
+    def link(self, pairs: DataFrame, fetch: bool = False) -> None:
+        """Components grow by the pairs that link; sketches spare most others the count.
 
-        Pairs of the second round are among the sets that the first has fetched.
+        Later pairs are among the sets that the first ones have fetched.
         """
         pairs = landed(pairs.select("a", "b", "size_a", "size_b").distinct(), "ngram-pairs")
         if fetch:
             self.fetch(_ends(pairs))
-        counted = landed(_counted(pairs, self.fragments), "ngram-counted")
+        pairs = landed(self.close(pairs), "ngram-close")
+        if not pairs.isEmpty():
+            self.merge(landed(_counted(pairs, self.fragments), "ngram-counted"))
+
+    def merge(self, counted: DataFrame) -> None:
+        """Components that a pair (a, b, size_a, size_b, shared) links become one."""
         union = F.col("size_a") + F.col("size_b") - F.col("shared")
-        self.links = self.links.unionByName(counted.filter(F.col("shared") * 100 >= union * self.percent).select("a", "b"))
-        self.label = landed(components(self.links), "ngram-labels")
-        return counted
+        links = counted.filter(F.col("shared") * 100 >= union * self.percent).select("a", "b")
+        # only components are joined, so that a round costs what it finds
+        ends = self.root(self.root(links, "a", "root_a"), "b", "root_b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+        ends = landed(ends.filter("a <> b").distinct(), "ngram-ends")
+        if ends.isEmpty():
+            return
+        merged = components(ends)
+        nodes = self.label.select("node").unionByName(links.select(F.col("a").alias("node"))).unionByName(links.select(F.col("b").alias("node")))
+        was = self.root(nodes.distinct(), "node", "was")
+        now = was.join(merged.select(F.col("node").alias("was"), "root"), "was", "left")
+        self.label = landed(now.select("node", F.coalesce("root", "was").alias("root")), "ngram-labels")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes looked at together; a word longer than that makes its block longer.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 

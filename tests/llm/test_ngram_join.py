@@ -90,11 +90,12 @@ def test_links_meet_on_their_differences_to_a_centre(percent, bounded):
         links += 1
         differ = [len(np.setxor1d(s, centre)) for s in (x, y)]
         slack = rnd.randint(0, 3)  # another set of the class is larger or smaller
-        keys = []
+        keys, common = [], rnd.sample(list(range(1, 2 * size)), rnd.choice([0, size // 2]))
+        common = np.array(common, np.uint64)
         for own, other, at in ((x, y, 1), (y, x, 0)):
             most = [(len(own) + len(other) + slack) * p // q]
             sure = [(len(own) + len(other) - slack) * p // q] if bounded else None
-            keys.append(nj.difference_keys(own, centre, [differ[at] // width], most, width, sure))
+            keys.append(nj.difference_keys(nj.difference(own, centre), [nj.class_of(differ[at], width)], most, width, sure, common))
         signs += len(keys[0]) != len(keys[1])
         assert len(np.intersect1d(*keys)), (size, differ, shared)
     assert links > 100 and signs > 20
@@ -128,3 +129,22 @@ def test_words_are_those_of_the_contract():
     texts = ["A b c\x0bd \x1fe", "x" * 100_000 + " y", "İI"]
     for text, tokens in zip(texts, nj.Shingler(1)([t.encode() for t in texts])):
         assert len(tokens) == len(brute.shingles(text, 1))
+
+
+def test_sketches_never_part_sets_that_link(spark):
+    """The bound holds for sets of any sizes, and is sharp for sets that share nothing."""
+    rnd = random.Random(2)
+    rows = []
+    for _ in range(300):
+        size = rnd.choice([1, 2, 31, 32, 33, 64, 65, 200, 600])
+        a = np.unique(np.array([rnd.getrandbits(64) for _ in range(size)], np.uint64))
+        kept = a[[rnd.random() < 0.9 for _ in a]]
+        b = np.unique(np.concatenate((kept, np.array([rnd.getrandbits(64) for _ in range(rnd.randrange(0, size // 4 + 2))], np.uint64))))
+        other = np.array([rnd.getrandbits(64) for _ in range(len(a))], np.uint64)
+        for x, y in ((a, b), (a, other)):
+            if len(y):
+                rows.append((nj.sketch(x).view(np.int64).tolist(), nj.sketch(y).view(np.int64).tolist(), len(np.setxor1d(x, y)), len(x)))
+    frame = spark.createDataFrame(rows, "a array<long>, b array<long>, differ int, size int")
+    got = frame.select(nj.apart_by(frame.a, frame.b).alias("least"), "differ", "size").collect()
+    assert all(r.least <= r.differ for r in got)
+    assert all(r.least > 0.3 * r.differ for r in got if r["size"] >= 64 and r.differ == 2 * r["size"])
