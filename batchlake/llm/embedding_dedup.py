@@ -26,6 +26,8 @@ SAMPLE_ROWS = 16_384
 #: Vectors of a label for each cell, and vectors in a block.
 CELL_ROWS = 2048
 BLOCK_ROWS = 2048
+#: Cells of a label that would fit into one, unless that leaves each with fewer than FEW_ROWS vectors.
+LEAST_CELLS, FEW_ROWS = 4, 16
 ROUNDS = 8
 
 
@@ -87,7 +89,7 @@ def _vectors(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 def _fit(distinct: DataFrame) -> dict[int, np.ndarray]:
     """Centres for each dimension, from one bounded sample; few dimensions are expected."""
     largest = distinct.groupBy("label", "size").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    k = -(-largest // CELL_ROWS)
+    k = max(-(-largest // CELL_ROWS), min(LEAST_CELLS, largest // FEW_ROWS))
     if k <= 1:
         return {}
     rows = distinct.select("size", "vector", "key").orderBy(F.xxhash64("key"), "key").limit(SAMPLE_ROWS).collect()

@@ -44,7 +44,8 @@ def _header_block() -> Column:
         line("WARC-Date", F.lit(WARC_DATE)),
         F.coalesce(line("WARC-Target-URI", no_breaks), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
-        line("WARC-Block-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
+        # the block of a revisit is empty
+        line("WARC-Block-Digest", F.concat(F.lit("sha256:"), F.when(revisit, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("digest")))),
         line("WARC-Profile", F.lit(REVISIT_PROFILE), revisit),
         F.coalesce(line("WARC-Refers-To", F.col("owner_record_id"), revisit), F.lit("")),
         F.coalesce(line("X-Refers-To-Page", F.col("owner").cast("string"), revisit), F.lit("")),
