@@ -11,6 +11,11 @@ from batchlake.functions.schema import BATCH
 from batchlake.operators.clean import observed
 
 
+#: Spark's setting for the least size of a task after gathering. Many tiny batches are many files,
+#: which few tasks would write one after another.
+LEAST_TASK, LEAST_TASK_BYTES = "spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k"
+
+
 def write_layer(
     df: DataFrame,
     path: str,
@@ -32,16 +37,22 @@ def write_layer(
     written = Observation()
     if batches:  # the names are on the driver already
         df = df.observe(written, F.collect_set(F.col(BATCH).cast("string")).alias("batches"))
+    spark = df.sparkSession
     if rebalance:
         df = df.hint("rebalance", *[F.col(c) for c in cols])
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*cols)
-        .parquet(path)
-    )
+    before = spark.conf.get(LEAST_TASK)
+    spark.conf.set(LEAST_TASK, LEAST_TASK_BYTES)
+    try:
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*cols)
+            .parquet(path)
+        )
+    finally:
+        spark.conf.set(LEAST_TASK, before)
     if batches:
-        drop_batches(df.sparkSession, path, sorted(set(batches) - set(observed(written, "batches") or [])))
+        drop_batches(spark, path, sorted(set(batches) - set(observed(written, "batches") or [])))
 
 
 def _file_system(spark: SparkSession, path: str):

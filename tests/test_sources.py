@@ -110,8 +110,8 @@ def test_split_reader_orders_lines_within_a_file(spark, tmp_path):
 
 @pytest.fixture
 def tiny_splits(spark):
-    """Splits of about a hundred bytes."""
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "101")
+    """Splits of some hundred bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "301")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     yield
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -122,7 +122,7 @@ def tiny_splits(spark):
 def test_characters_with_the_byte_0a(spark, tmp_path, tiny_splits, coding):
     """U+010A and U+0A05 hold the byte, also side by side and at the ends of cells."""
     names = ["ਅ", "Ċ", "ĊਅĊ", "xਅ", "Ċx", "ਊ", "਀", "plain", "ਊĊ\u0a0a"]
-    rows = [row(i, names[i % len(names)]) for i in range(40)]
+    rows = [row(i, names[i % len(names)]) for i in range(20)]
     put(tmp_path / "a.csv", text_of(rows, "\t"), *coding)
     put(tmp_path / "b.csv", text_of(rows, "\t", newline="\n").rstrip("\n"), *coding)
     want = sorted((r[1], r[6]) for r in rows)
@@ -149,7 +149,7 @@ def quoted_table(sep, n=30, seed=1):
 def test_line_breaks_in_quotes_equal_the_csv_module(spark, tmp_path, tiny_splits, sep):
     want = {}
     for seed, coding in enumerate((("utf-8",), U8, LE, BE)):
-        text, want[f"f{seed}.csv"] = quoted_table(sep, 30, seed)
+        text, want[f"f{seed}.csv"] = quoted_table(sep, 18, seed)
         put(tmp_path / f"f{seed}.csv", text, *coding)
     for size in (1 << 20, 0):
         got = read_raw_text(spark, str(tmp_path), whole_file_bytes=size).collect()
@@ -158,7 +158,7 @@ def test_line_breaks_in_quotes_equal_the_csv_module(spark, tmp_path, tiny_splits
 
 
 def test_a_long_cell_spans_several_splits(spark, tmp_path, tiny_splits):
-    note = "\n".join(f"line {i}" for i in range(200))
+    note = "\n".join(f"line {i}" for i in range(120))
     rows = [row(0), [*row(1)[:6], note], row(2), [*row(3)[:6], "a\nb"]]
     out = io.StringIO()
     csv.writer(out, lineterminator="\n").writerows([HEADER, *rows])
