@@ -25,7 +25,7 @@ from batchlake.llm.base import small_batches
 
 NONE = -1
 #: Pieces kept by a worker (and as many older ones), and the length up to which one is kept.
-CACHED_PIECES = 500_000
+CACHED_PIECES = 250_000
 CACHED_CHARS = 48
 
 

@@ -339,9 +339,11 @@ def _differences(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
 def _shared_by_many(differences: DataFrame, sizes: DataFrame) -> DataFrame:
     """(a, common): n-grams in the differences of many sets of a centre, the most frequent last.
 
-    Told from some SHOWN_SETS sets of each centre (which has ``n`` in ``sizes``), so that it does not grow with it.
+    Told from some SHOWN_SETS sets of each centre (which has ``n`` and ``near`` in ``sizes``), so that it
+    does not grow with it. Sets far from the centre differ from it by nearly all they have, and
+    what the centre lacks stands first with them anyway.
     """
-    shown = differences.select("a", "b", "order").join(sizes, "a").filter(F.pmod(F.xxhash64("b"), F.col("n")) < SHOWN_SETS)
+    shown = differences.join(sizes, "a").filter((F.size("order") < F.col("near")) & (F.pmod(F.xxhash64("b"), F.col("n")) < SHOWN_SETS))
     often = shown.select("a", F.explode("order").alias("token")).groupBy("a", "token").agg(F.count(F.lit(1)).alias("often"))
     sets = shown.groupBy("a").agg(F.count(F.lit(1)).alias("sets"))
     many = often.join(sets, "a").filter((F.col("often") > 1) & (F.col("often") * MANY >= F.col("sets")))
@@ -354,8 +356,8 @@ def _meetings(differences: DataFrame, able: DataFrame) -> DataFrame:
 
     What is known of sets and centres is broadcast if it was counted to be little, else dealt out.
     """
-    sizes = able.groupBy("a").agg(F.max("n").alias("n"), F.max("parts").alias("parts"))
-    common = _shared_by_many(differences, sizes.select("a", "n"))
+    sizes = able.groupBy("a").agg(F.max("n").alias("n"), F.max("parts").alias("parts"), (F.max("width") * NEAR).alias("near"))
+    common = _shared_by_many(differences, sizes.select("a", "n", "near"))
     if (common.agg(F.sum(F.size("common"))).first()[0] or 0) <= BROADCAST_GRAMS:
         common, on = F.broadcast(common), ["a"]
     else:
