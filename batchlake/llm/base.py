@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,14 @@ CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scopes: list[list[str]] = []
 
 
+def give_back() -> None:
+    """Return memory that earlier operators of a Python worker have freed, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def landed(df: DataFrame, label: str, kept: bool = False) -> DataFrame:
     """Write to a new folder below the shared one and read it from there.
 

@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from batchlake.llm.base import small_batches
+from batchlake.llm.base import give_back, small_batches
 
 NONE = -1
 #: Pieces kept by a worker (and as many older ones), and the length up to which one is kept.
@@ -241,6 +241,7 @@ def encoded(docs: DataFrame, text: Column, path: str, pattern: str, keep: list[s
     shipped = spark.sparkContext.broadcast(Path(path).read_bytes())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder = Encoder(Vocabulary.parse(shipped.value), pattern)
         for batch in batches:
             out = {"n": [], "i": [], "d": [], "t": []}
