@@ -97,3 +97,10 @@ def test_accuracy_equals_the_evaluator(spark, run):
 def test_r2_of_a_constant_label_is_null(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], [TARGET, "prediction"])
     assert learn.r2(df).first()["r2"] is None
+
+
+def test_the_forest_gathers_its_rows(spark):
+    """Each task of a pass makes the statistics of all nodes, so rows dealt widely are gathered."""
+    wide = spark.range(0, 900, 1, 60).select((F.col("id") % 7).cast("double").alias("x"))
+    assert learn.gathered(wide).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert learn.gathered(wide).count() == 900
