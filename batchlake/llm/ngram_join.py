@@ -16,9 +16,10 @@ pair is counted in each of them apart and summed for the pair.
 
 Groups: within a segment's documents, only pairs with one centre are counted first. The
 centre of a segment is its most central set, or a set yet more central that this one often
-meets, so that a group has few centres. Pairs already in one component need no count. In
-some further rounds each segment in which components still meet compares one set with those
-of other components and is done with it, which settles small segments. For the sets that
+meets, so that a group has few centres. Pairs already in one component need no count. Small
+segments in which components still meet then compare all their pairs and are done with; sets that
+have little else in common mostly meet there. In the others each compares one more set with those
+of other components and is done with it. For the sets that
 then still meet across components, the difference of each to a centre decides: two sets
 that link must share so many n-grams of their differences (they differ from each other by
 what they do not share), so they meet again only on a prefix of these, those last that many
@@ -56,8 +57,10 @@ SCAN_ROWS = 512
 BATCH_KEYS = 20_000
 #: N-grams that many sets of a centre share, of all centres, that may be broadcast (8 bytes each).
 BROADCAST_GRAMS = 2_000_000
-#: Rounds in which each segment compares one set with its others and is done with it.
-ROUNDS = 2
+#: Sets up to which a segment compares all its pairs: at most so many rows for each of its own.
+SMALL_SETS = 16
+#: Rounds in which each larger segment compares one set with its others and is done with it.
+ROUNDS = 1
 #: Sets of one centre in a part, when they are joined with what belongs to the centre.
 PART_SETS = 4096
 #: Sets from which the n-grams are told that many sets of a centre share, and the share
@@ -515,7 +518,9 @@ def _grouped(docs: DataFrame, n: int, percent: int, hot_rows: int) -> tuple[Data
         join = _Join(docs, index, n, percent)
         # at first each set is a component of its own
         join.link(join.fits(join.star(met)), fetch=True)
-        rows = met
+        rows = join.crossing(met)
+        if not rows.isEmpty():
+            rows = join.settle_small(rows)
         for _ in range(ROUNDS):
             rows = join.crossing(rows)
             if not rows.isEmpty():
@@ -586,6 +591,29 @@ class _Join:
         pairs = rows.join(centre, "segment").filter("key <> a").select("a", F.col("key").alias("b"), "size_a", F.col("size").alias("size_b"))
         return landed(pairs.distinct(), "ngram-star")
 
+    def settle_small(self, rows: DataFrame) -> DataFrame:
+        """Compare all pairs of components in segments of at most SMALL_SETS sets; returns the rows of the others.
+
+        Such sets often have nothing but the segment in common; by their differences to a centre
+        they would meet on as many keys as a plain prefix has.
+        """
+        # a segment can hold a set twice, as one of its class and of the class below
+        rows = rows.groupBy("segment", "key").agg(F.max("size").alias("size"), F.max("weight").alias("weight"), F.max("root").alias("root"))
+        sets = rows.groupBy("segment").agg(F.count(F.lit(1)).alias("sets"))
+        rows = landed(rows.join(sets, "segment"), "ngram-crossing-sets")
+        small = rows.filter(F.col("sets") <= SMALL_SETS)
+        each = small.groupBy("segment").agg(F.collect_list(F.struct("key", "size", "root")).alias("all"))
+        left = small.select("segment", F.struct("key", "size", "root").alias("x"))
+        # one row for each set and segment; only what can link leaves its row
+        mates = left.join(each, "segment").select("x", F.explode(F.filter("all", lambda y: (
+            (y["key"] > F.col("x.key")) & (y["root"] != F.col("x.root"))
+            & (F.least(y["size"], F.col("x.size")) * 100 >= F.greatest(y["size"], F.col("x.size")) * self.percent)
+        ))).alias("y"))
+        self.link(
+            mates.select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.size").alias("size_a"), F.col("y.size").alias("size_b")), fetch=True
+        )
+        return rows.filter(F.col("sets") > SMALL_SETS).drop("sets", "root")
+
     def settle(self, rows: DataFrame) -> DataFrame:
         """Compare the most central set of each segment with those of other components.
 

@@ -148,3 +148,20 @@ def test_sketches_never_part_sets_that_link(spark):
     got = frame.select(nj.apart_by(frame.a, frame.b).alias("least"), "differ", "size").collect()
     assert all(r.least <= r.differ for r in got)
     assert all(r.least > 0.3 * r.differ for r in got if r["size"] >= 64 and r.differ == 2 * r["size"])
+
+
+def test_small_segments_of_unlinked_sets_are_settled_at_once(spark, monkeypatch):
+    """Sets that share a long passage, but do not link, need no keys of their differences to a centre."""
+    compared, apart = [], []
+    settled = nj._Join.settle_small
+    monkeypatch.setattr(nj._Join, "settle_small", lambda self, rows: compared.append(rows.count()) or settled(self, rows))
+    monkeypatch.setattr(nj._Join, "apart", lambda self, rows: apart.append(rows.count()))
+    texts = []
+    for group in range(6):
+        shared = [f"g{group}s{i}" for i in range(120)]
+        texts += [" ".join(shared + [f"g{group}o{own}x{i}" for i in range(24)]) for own in range(6)]
+        texts.append(" ".join([*shared, *texts[-1].split()[120:], "more"]))  # one of them with a near copy
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in nj.similar_documents(docs, 4, 85).collect()}
+    assert got == dict(enumerate(brute.components(len(texts), brute.jaccard_links(texts, 4, 85))))
+    assert sum(compared) > 0 and not apart
