@@ -69,3 +69,17 @@ def test_mounted_files_are_moved_without_the_stores_calls(spark, tmp_path, monke
     assert not os.listdir(drop)
     # the rest of the moves is the store's, whatever the path looks like
     assert not layers._on_mount("hdfs://host/x", True) and not layers._on_mount("/x", False)
+
+
+def test_a_drop_is_read_once_before_the_model_is_fitted(spark, sf_dir, monkeypatch):
+    """The features read their rows twice, for sizes of batches and for windows: not from the files dropped."""
+    plans = []
+
+    def build_features(rows):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        raise InterruptedError
+
+    monkeypatch.setattr(queries.ft, "build_features", build_features)
+    with pytest.raises(InterruptedError):
+        queries.CATALOG["S5_drop_to_predictions"].build(spark, sf_dir)
+    assert plans and "parquet" in plans[0].lower() and "binaryfile" not in plans[0].lower()
